@@ -20,3 +20,13 @@ def rate_pct(part: Column, whole: Column) -> Column:
 def grade(score: Column) -> Column:
     """Traffic-light grade of an overall score."""
     return F.when(score >= 95, "green").when(score >= 80, "amber").otherwise("red")
+
+
+def rounded_mean(column: str, digits: int) -> Column:
+    """Aggregate: the mean, rounded half-up.
+
+    The order in which partitions add up doubles shifts the last bits of a
+    mean; where it sits on a rounding edge that would decide the result.  The
+    noise is rounded off first, so reruns agree.
+    """
+    return F.round(F.round(F.avg(column), 9), digits)

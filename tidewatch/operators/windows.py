@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import AGGREGATE_SCHEMA
+from ..functions.scores import rounded_mean
 
 # Seconds per interval unit.
 _UNIT_SECONDS = {
@@ -49,12 +50,12 @@ def aggregate_windows(
     if interval_seconds(slide) > interval_seconds(duration):
         raise ValueError(f"slide {slide!r} is longer than the window {duration!r}")
     grouped = events.groupBy(F.window("event_ts", duration, slide), "symbol", "exchange").agg(
-        F.round(F.avg("price"), 4).alias("avg_price"),
+        rounded_mean("price", 4).alias("avg_price"),
         F.round(F.max("price"), 4).alias("max_price"),
         F.round(F.min("price"), 4).alias("min_price"),
         F.sum("volume").alias("total_volume"),
         F.count(F.lit(1)).alias("event_count"),
-        F.round(F.avg("change_percent"), 4).alias("avg_change_percent"),
+        rounded_mean("change_percent", 4).alias("avg_change_percent"),
     )
     columns = {
         "window_start": F.col("window.start"),

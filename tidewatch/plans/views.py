@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import first_reason
-from ..functions.scores import rate_pct
+from ..functions.scores import rate_pct, rounded_mean
 
 HOURS = list(range(24))
 
@@ -72,7 +72,7 @@ def hourly_events(raw: DataFrame) -> DataFrame:
     """Events, average price and volume per date, hour, symbol and exchange."""
     return raw.groupBy("event_date", "event_hour", "symbol", "exchange").agg(
         _rows().alias("event_count"),
-        F.round(F.avg("price"), 2).alias("avg_price"),
+        rounded_mean("price", 2).alias("avg_price"),
         F.sum("volume").alias("total_volume"),
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from time import monotonic, sleep
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
@@ -49,6 +50,13 @@ class ProgressListener(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:  # noqa: N802 - Spark's name
         self._endings.append((str(event.id), datetime.now().astimezone(), event.exception))
 
+    def wait_for_endings(self, count: int, seconds: float = 60.0) -> bool:
+        """Wait until ``count`` queries reported their end; events arrive with a delay."""
+        limit = monotonic() + seconds
+        while len(self._endings) < count and monotonic() < limit:
+            sleep(0.05)
+        return len(self._endings) >= count
+
     def metrics(self, spark: SparkSession) -> DataFrame:
         """The batches seen since the last flush."""
         return spark.createDataFrame(list(self._batches), METRICS_SCHEMA)
