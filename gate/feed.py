@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.sources.records import spread_out
+
 TOPIC = "events"
 AS_OF = "2024-01-29 12:00:00"
 
@@ -49,7 +51,11 @@ def _wire_json(n: Column) -> Column:
 
 def bus_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` as bus records (the columns of KAFKA_SCHEMA)."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spread_out(
+        spark.read.parquet(f"{sf_dir}/events.parquet").select(
+            "event_id", "ts", "event_type", "value", "props"
+        )
+    )
     n = F.col("event_id")
     copies = F.when(n % 25 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return events.select("*", F.explode(copies).alias("copy")).select(

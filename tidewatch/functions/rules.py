@@ -121,31 +121,29 @@ def _type_name(json_type: Column) -> Column:
 
 
 def read_json(df: DataFrame, raw: str = "raw_value") -> DataFrame:
-    """Add the JSON reading of ``raw``: the document and, per field, value and type.
+    """Add the JSON reading of ``raw``: the document and, per field, value, type, text, number.
 
-    Each step is computed once per row however many rules look at it.
+    Plain projections, so that what no rule asks for is pruned; put what is
+    concluded from them behind ``add_once`` before filtering on it.
     """
-    df = add_once(df, _doc=F.try_parse_json(raw))
-    df = add_once(
-        df,
-        _doc_type=_json_type(F.col("_doc")),
-        **{
-            f"_v_{f}": F.try_variant_get("_doc", f"$.{f}", "variant") for f in WIRE_FIELDS
-        },
+    numeric = ("price", "volume", "change", "change_percent")
+    df = df.withColumn("_doc", F.try_parse_json(raw))
+    df = df.withColumns(
+        {f"_v_{f}": F.try_variant_get("_doc", f"$.{f}", "variant") for f in WIRE_FIELDS}
     )
-    df = add_once(
-        df,
-        **{f"_t_{f}": _json_type(F.col(f"_v_{f}")) for f in WIRE_FIELDS},
-        **{f"_s_{f}": F.try_variant_get(f"_v_{f}", "$", "string") for f in WIRE_FIELDS},
+    df = df.withColumns(
+        {f"_t_{f}": _json_type(F.col(f"_v_{f}")) for f in WIRE_FIELDS}
+        | {f"_s_{f}": F.try_variant_get(f"_v_{f}", "$", "string") for f in WIRE_FIELDS}
     )
     numbers = {
         f"_n_{f}": F.when(
             F.col(f"_t_{f}").isin(*_NUMBER), F.try_variant_get(f"_v_{f}", "$", "double")
         )
-        for f in ("price", "volume", "change", "change_percent")
+        for f in numeric
     }
     stamp = F.when(F.col("_t_timestamp") == "STRING", iso_timestamp(F.col("_s_timestamp")))
-    return add_once(df, **numbers, _iso_ts=stamp)
+    root = F.when(F.col(raw).rlike(r"^\s*\{"), "OBJECT").otherwise(_json_type(F.col("_doc")))
+    return df.withColumns(numbers | {"_iso_ts": stamp, "_doc_type": root})
 
 
 def drop_json(df: DataFrame) -> DataFrame:

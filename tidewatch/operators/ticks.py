@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..settings import fits, settle
+from ..settings import settle
 from .windows import interval_seconds
 
 _MIN_SLICE = -(2**63)
@@ -27,14 +27,15 @@ def tick_change(
     A plain ``lag`` per key would put all ticks of a hot key into one task.
     Here each key is cut into time slices that are lagged on their own; the
     last value of a slice is handed to the next one through a small table of
-    one row per key and slice.  Should a single slice turn out to be hot, the
-    ticks are cut into equal ranges of (key, order) instead.
+    one row per key and slice.  That table is worked out first, in one pass;
+    should it show a single slice to be hot, the ticks are cut into equal
+    ranges of (key, order) instead.
     """
     sliced = events.withColumn("_slice", _time_slice(F.col(order[0]), slice_width))
-    ends = _slice_ends(sliced, key, order, value)
-    if not fits(ends.filter(F.col("_rows") > max_slice_rows), 0):
-        ranges = _range_count(events, max_slice_rows)
-        ranged = events.repartitionByRange(ranges, key, *order)
+    ends = settle(_slice_ends(sliced, key, order, value), "tick-slices")
+    hottest, total = ends.agg(F.max("_rows"), F.sum("_rows")).first()
+    if hottest is not None and hottest > max_slice_rows:
+        ranged = events.repartitionByRange(max(2, 2 * total // max_slice_rows), key, *order)
         # Settled, because both uses below must see one and the same cut.
         sliced = settle(ranged.withColumn("_slice", F.spark_partition_id().cast("long")), "ticks")
         ends = _slice_ends(sliced, key, order, value)
@@ -80,8 +81,3 @@ def _slice_ends(sliced: DataFrame, key: str, order: tuple[str, ...], value: str)
         F.count(F.lit(1)).alias("_rows"),
         F.max_by(value, F.struct(*order)).alias("_last"),
     )
-
-
-def _range_count(events: DataFrame, max_rows: int) -> int:
-    least = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, 2 * events.count() // max_rows)

@@ -65,6 +65,17 @@ def as_records(
     )
 
 
+def spread_out(df: DataFrame) -> DataFrame:
+    """Deal the rows of a source with fewer splits than cores over all cores.
+
+    Judging JSON costs far more than moving it, so a feed that arrives in a
+    few unsplittable row groups would leave the cluster idle.  A source with
+    enough splits is passed on as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_records(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Landed bus records as a batch: record files, or text files of JSON lines."""
     if fmt == "text":
