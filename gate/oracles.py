@@ -403,7 +403,8 @@ ORACLES: dict[str, str] = {
           CAST(coalesce(sum(volume), 0) AS BIGINT) AS total_volume
         FROM days LEFT JOIN raw ON date = event_date GROUP BY 1"""),
     "symbol_star_join": _sql(_RAW, """
-        SELECT company AS dim_company, event_year, event_month, count(*) AS event_count,
+        SELECT company AS dim_company, event_year AS dim_year, event_month AS dim_month,
+          count(*) AS event_count,
           CAST(sum(volume) AS BIGINT) AS total_volume
         FROM raw GROUP BY 1, 2, 3"""),
     "standing_views": _sql(_RAW, f"""

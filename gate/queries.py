@@ -381,8 +381,13 @@ def events_per_day(spark, sf_dir):
 def symbol_star_join(spark, sf_dir):
     t = tables(spark, sf_dir)
     symbols = t.valid.groupBy("symbol").agg(F.max("company").alias("dim_company"))
+    days = views.calendar(t.raw_events).select(
+        F.col("date").alias("event_date"), F.col("year").alias("dim_year"),
+        F.col("month").alias("dim_month"),
+    )
     joined = look_up(t.raw_events, symbols, "symbol", spread_by="event_id")
-    return joined.groupBy("dim_company", "event_year", "event_month").agg(
+    joined = look_up(joined, days, "event_date", spread_by="event_id")
+    return joined.groupBy("dim_company", "dim_year", "dim_month").agg(
         F.count(F.lit(1)).alias("event_count"), F.sum("volume").alias("total_volume")
     )
 

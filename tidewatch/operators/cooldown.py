@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..settings import settle
+
 _NEVER = np.iinfo(np.int64).min
 
 
@@ -41,6 +43,7 @@ def cooled_down(
     sliced = instants.withColumn("_at", F.unix_micros("at")).withColumn(
         "_slice", F.floor(F.col("_at") / (cooldown * slices_of)).cast("long")
     )
+    sliced = settle(sliced, "alerts")  # read three times below
     summary = sliced.select("title", "_slice", "_at").groupBy("title", "_slice").applyInPandas(
         _summarise(cooldown, slices_of),
         "title string, _slice long, _begins array<long>, _ends array<long>",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import ALERT_SCHEMA, AlertThresholds
 from ..functions.scores import rate_pct
+from ..settings import settle
 
 SEVERITIES = ("info", "warning", "critical")
 
@@ -67,6 +68,7 @@ def quiet_minutes(
         .groupBy(minute.alias("minute"))
         .agg(F.count(F.lit(1)).alias("event_count"))
     )
+    counts = settle(counts, "minutes")  # a row per minute, read for the line and for its counts
     ends = counts.agg(F.min("minute").alias("first"), F.max("minute").alias("last"))
     days = ends.filter(F.col("first").isNotNull()).select(
         "first", "last",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import first_reason
 from ..functions.scores import rate_pct, rounded_mean
+from ..settings import settle
 
 HOURS = list(range(24))
 
@@ -114,7 +115,8 @@ def events_per_day(raw: DataFrame) -> DataFrame:
     daily = raw.groupBy("event_date").agg(
         _rows().alias("event_count"), F.sum("volume").alias("total_volume")
     )
-    days = calendar(raw)
+    daily = settle(daily, "daily")  # a row per day, read for the calendar and for its counts
+    days = calendar(daily)
     return days.join(daily, days["date"] == daily["event_date"], "left").select(
         "date",
         F.coalesce("event_count", F.lit(0)).alias("event_count"),
@@ -128,15 +130,14 @@ def events_per_day(raw: DataFrame) -> DataFrame:
 def dlq_rate(raw: DataFrame, letters: DataFrame) -> DataFrame:
     """Per day the valid events, the dead letters and their share in percent.
 
-    ``raw`` and ``letters`` are read for ``event_date`` only and counted before
-    they meet, so the join is one of a row per day.
+    The full outer join of both daily counts, written as one aggregation over
+    both tables: a day either side lacks counts 0 there, and rows are combined
+    per day before the only shuffle.  Reads nothing but ``event_date``.
     """
-    good = raw.groupBy("event_date").agg(_rows().alias("valid_count"))
-    bad = letters.groupBy("event_date").agg(_rows().alias("dlq_count"))
-    counts = good.join(bad, "event_date", "full_outer").select(
-        "event_date",
-        F.coalesce("valid_count", F.lit(0)).alias("valid_count"),
-        F.coalesce("dlq_count", F.lit(0)).alias("dlq_count"),
+    good = raw.select("event_date", F.lit(1).alias("_good"), F.lit(0).alias("_bad"))
+    bad = letters.select("event_date", F.lit(0).alias("_good"), F.lit(1).alias("_bad"))
+    counts = good.unionByName(bad).groupBy("event_date").agg(
+        F.sum("_good").alias("valid_count"), F.sum("_bad").alias("dlq_count")
     )
     rate = rate_pct(F.col("dlq_count"), F.col("valid_count") + F.col("dlq_count"))
     return counts.withColumn("dlq_rate_pct", rate).orderBy("event_date")
