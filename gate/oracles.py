@@ -479,6 +479,11 @@ ORACLES: dict[str, str] = {
         SELECT * EXCLUDE (processing_time) FROM aggregates"""),
     "stream_dlq": _sql(_TAGGED + _LETTERS, """
         SELECT original_message, error_reason, pipeline_name FROM letters"""),
+    "staged_tables": _sql(_RAW + _AGGREGATES + _LETTERS, """
+        SELECT 'raw events' AS "table", count(*) AS rows FROM raw
+        UNION ALL SELECT 'aggregates', count(*) FROM aggregates
+        UNION ALL SELECT 'dead letter', count(*) FROM letters
+        UNION ALL SELECT 'events in windows', CAST(sum(event_count) AS BIGINT) FROM aggregates"""),
     "stream_dlq_bus": _sql(_TAGGED, """
         SELECT error_reason, count(*) AS letters FROM tagged
         WHERE error_reason IS NOT NULL AND fault <> 50 GROUP BY 1"""),

@@ -30,6 +30,7 @@ from tidewatch.settings import StreamOptions, new_folder, use_utc
 from tidewatch.sources.records import as_records, read_table, stream_records
 from tidewatch.streaming.listener import ProgressListener
 from tidewatch.streaming.run import finish, start_stream
+from tidewatch.streaming.staged import run_staged
 
 from .feed import AS_OF, bus_records
 
@@ -486,14 +487,14 @@ def alert_cooldown(spark, sf_dir):
 # --- the same job as a stream ----------------------------------------------------------
 
 
-def _streamed(spark: SparkSession, sf_dir: str, output: str, **options) -> str:
-    """Run one output of the job as a stream over the landed feed; where it wrote to.
+def _land(spark: SparkSession, sf_dir: str, last_record: bool) -> str:
+    """Land the feed as files, if wanted with a last record far after all others.
 
-    A last record far after the others moves the watermark past every window.
+    That record moves the watermark past every window.
     """
-    feed, base = new_folder(spark, "feed"), new_folder(spark, "out")
+    feed = new_folder(spark, "feed")
     landed = records(spark, sf_dir)
-    if output == "aggregates":
+    if last_record:
         after = F.to_json(
             F.struct(
                 F.lit("after-all").alias("event_id"), F.lit("-").alias("symbol"),
@@ -505,7 +506,13 @@ def _streamed(spark: SparkSession, sf_dir: str, output: str, **options) -> str:
         newest = landed.agg(F.max("timestamp").alias("last")).select(after.alias("value"))
         landed = landed.unionByName(as_records(newest))
     landed.select(*KAFKA_SCHEMA.fieldNames()).write.parquet(feed)
-    stream = stream_records(spark, feed)
+    return feed
+
+
+def _streamed(spark: SparkSession, sf_dir: str, output: str, **options) -> str:
+    """Run one output of the job as a stream over the landed feed; where it wrote to."""
+    base = new_folder(spark, "out")
+    stream = stream_records(spark, _land(spark, sf_dir, output == "aggregates"))
     opts = StreamOptions(available_now=True, **options)
     finish(start_stream(stream, base, opts, outputs=(output,)))
     return base
@@ -545,6 +552,20 @@ def stream_dlq_bus(spark, sf_dir):
     return judged.groupBy("error_reason").agg(F.count(F.lit(1)).alias("letters"))
 
 
+@query
+def staged_tables(spark, sf_dir):
+    base = new_folder(spark, "out")
+    run_staged(stream_records(spark, _land(spark, sf_dir, True)), base)
+    windows = read_table(spark, base, "events_aggregates_1m")
+    raw = read_table(spark, base, "events_raw").filter(F.col("symbol") != "-")
+    counts = views.row_counts(
+        {"raw events": raw, "aggregates": windows,
+         "dead letter": read_table(spark, base, "dead_letter_events")}
+    )
+    events = windows.agg(F.sum("event_count").alias("rows"))
+    return counts.unionByName(events.select(F.lit("events in windows").alias("table"), "rows"))
+
+
 @query
 def metrics_progress(spark, sf_dir):
     listener = ProgressListener()

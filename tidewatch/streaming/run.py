@@ -53,16 +53,19 @@ def start_table(
     ``parquet`` is Spark's own file sink, whose log makes every batch count
     once; any other name is a per-batch writer of ``sinks``.
     """
-    writer = _writer(df, name, options)
     if sink == "parquet":
-        return (
-            writer.format("parquet")
-            .partitionBy(layout.partition_by)
-            .start(f"{base}/{layout.name}")
-        )
+        return start_partitioned(df, name, f"{base}/{layout.name}", layout.partition_by, options)
+    writer = _writer(df, name, options)
     return writer.foreachBatch(batch_writer(sink, base, layout, **sink_options)).start()
 
 
+def start_partitioned(
+    df: DataFrame, name: str, path: str, partition_by: str, options: StreamOptions
+) -> StreamingQuery:
+    """Stream a frame into partitioned Parquet files, every batch counted once."""
+    return _writer(df, name, options).format("parquet").partitionBy(partition_by).start(path)
+
+
 def start_values(
     df: DataFrame,
     name: str,
