@@ -239,3 +239,67 @@ def test_staged_run_is_incremental_and_equals_batch(spark, feed, tmp_path):
         batch.aggregates.filter("symbol <> 'END'"))
     assert read_table(spark, base, "dead_letter_events").count() == 1
     assert read_letter_lines(spark, f"{base}/dead_letter_values").count() == 1
+
+
+def test_cooldown_in_a_stream(spark, tmp_path):
+    from tidewatch.contracts import ALERT_SCHEMA
+    from tidewatch.streaming.cooldown import cooled_down_stream
+    from tidewatch.streaming.run import start_values
+
+    base = dt.datetime(2026, 1, 1)
+    folder = str(tmp_path / "alerts")
+    for seconds in ([60, 0, 30], [90, 121], [150, 181]):
+        rows = [(base + dt.timedelta(seconds=s), "a", "warning", "m") for s in seconds]
+        spark.createDataFrame(rows, ALERT_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(ALERT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+    out = cooled_down_stream(stream)
+    query = start_values(out, "cool", ONCE, "parquet", path=str(tmp_path / "out"))
+    finish({"cool": query})
+    sent = spark.read.parquet(str(tmp_path / "out")).orderBy("at").collect()
+    assert [(r["at"] - base).total_seconds() for r in sent] == [0, 60, 121, 181]
+
+
+def test_failure_between_write_and_commit_loses_and_repeats_nothing(spark, feed, tmp_path):
+    """The writer dies after its second batch is on disk; the restart repeats that batch."""
+    for i in range(3):
+        folder = feed((f"a{i}", i, {}), (f"b{i}", i, {}))
+    options = StreamOptions(available_now=True, max_files_per_trigger=1)
+    raw = event_tables(stream_records(spark, folder, "text", options), options=options).raw_events
+    write = batch_writer("table", str(tmp_path / "out"), RAW_EVENTS)
+
+    def start(dies_at):
+        def sink(batch, batch_id):
+            write(batch, batch_id)
+            if batch_id == dies_at:
+                raise RuntimeError("power cut")
+
+        return (
+            raw.writeStream.foreachBatch(sink).trigger(availableNow=True)
+            .option("checkpointLocation", str(tmp_path / "c")).start()
+        )
+
+    with pytest.raises(Exception, match="power cut"):
+        start(1).awaitTermination()
+    start(None).awaitTermination()
+    ids = [r.event_id for r in spark.read.parquet(str(tmp_path / "out" / "events_raw")).collect()]
+    assert sorted(ids) == ["a0", "a1", "a2", "b0", "b1", "b2"]
+
+
+def test_failure_with_the_native_sink(spark, feed, tmp_path):
+    """A poisoned record stops the query mid-way; once it reads again, nothing is doubled."""
+    for i in range(3):
+        folder = feed((f"a{i}", i, {}))
+    options = StreamOptions(available_now=True, max_files_per_trigger=1,
+                            checkpoints=str(tmp_path / "c"))
+    records = stream_records(spark, folder, "text", options)
+    poisoned = records.withColumn(
+        "value",
+        F.when(F.col("value").cast("string").contains('"a1"'),
+               F.raise_error(F.lit("poison")).cast("binary")).otherwise(F.col("value")),
+    )
+    base = str(tmp_path / "out")
+    with pytest.raises(Exception, match="poison"):
+        finish(start_stream(poisoned, base, options, outputs=("raw_events",)))
+    finish(start_stream(records, base, options, outputs=("raw_events",)))
+    ids = [r.event_id for r in read_table(spark, base, "events_raw").collect()]
+    assert sorted(ids) == ["a0", "a1", "a2"]

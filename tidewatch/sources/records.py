@@ -36,9 +36,18 @@ def kafka_options(
     return options
 
 
-def read_kafka(spark: SparkSession, **options) -> DataFrame:
+def read_kafka(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    options: StreamOptions = StreamOptions(),
+    **more,
+) -> DataFrame:
     """Stream of bus records from Kafka (needs the connector on the class path)."""
-    reader = spark.readStream.format("kafka").options(**kafka_options(**options))
+    given = kafka_options(
+        servers, topic, max_offsets_per_trigger=options.max_offsets_per_trigger, **more
+    )
+    reader = spark.readStream.format("kafka").options(**given)
     return reader.load().select(*KAFKA_SCHEMA.fieldNames())
 
 
