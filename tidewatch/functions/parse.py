@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import WIRE_FIELDS, WIRE_SCHEMA
+from ..contracts import KAFKA_SCHEMA, WIRE_FIELDS, WIRE_SCHEMA
 
 # A timestamp must carry a whole calendar date; on its own the timestamp parser
 # would also take "2026" (a year) or "12:00" (today at noon).
@@ -31,13 +31,11 @@ def add_once(df: DataFrame, **columns: Column) -> DataFrame:
 
 def decode_records(records: DataFrame) -> DataFrame:
     """Bus record to text, keeping the raw payload and its position on the bus."""
+    position = [c for c in KAFKA_SCHEMA.fieldNames() if c not in ("key", "value")]
     return records.select(
         F.col("value").cast("string").alias("raw_value"),
         F.col("key").cast("string").alias("kafka_key"),
-        F.col("topic").alias("kafka_topic"),
-        F.col("partition").alias("kafka_partition"),
-        F.col("offset").alias("kafka_offset"),
-        F.col("timestamp").alias("kafka_timestamp"),
+        *[F.col(c).alias(f"kafka_{c}") for c in position],
     )
 
 

@@ -19,8 +19,10 @@ def deduplicate_batch(events: DataFrame, key: str = "event_id") -> DataFrame:
     partition, not a task full of copies.
     """
     order = [c for c in _ARRIVAL if c in events.columns]
-    order += [c for c in ("raw_value", "price", "volume") if not order and c in events.columns]
-    first = Window.partitionBy(key).orderBy(*(order or [key]))
+    if "kafka_offset" not in order:
+        # No place on the bus tells deliveries apart: let their content decide.
+        order += [c for c in events.columns if c != key and c not in order]
+    first = Window.partitionBy(key).orderBy(*order)
     ranked = events.withColumn("_rank", F.row_number().over(first))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
