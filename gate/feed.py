@@ -16,13 +16,17 @@ TOPIC = "events"
 AS_OF = "2024-01-29 12:00:00"
 
 
-def _wire_json(n: Column) -> Column:
-    ts = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+_FIELDS = ("event_id", "symbol", "company", "price", "volume", "change", "change_percent",
+           "timestamp", "exchange")
+
+
+def _wire_fields(n: Column) -> dict[str, Column]:
+    """The nine wire fields of an `events` row, faults included that are a matter of value."""
+    fault = n % 100
     k = F.get_json_object("props", "$.k").cast("long")
     value = F.col("value")
-    fault = n % 100
-
-    fields = {
+    ts = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return {
         "event_id": n.cast("string"),
         "symbol": F.when(fault != 80, F.col("event_type")),
         "company": F.concat(F.initcap("event_type"), F.lit(" Inc.")),
@@ -37,15 +41,20 @@ def _wire_json(n: Column) -> Column:
         .when(n % 3 == 0, "NYSE").otherwise("NASDAQ"),
     }
 
-    def encode(columns: dict[str, Column]) -> Column:
-        packed = F.struct(*[c.alias(name) for name, c in columns.items()])
+
+def _wire_json(fault: Column) -> Column:
+    """The fields as JSON text, faults included that are a matter of form."""
+
+    def encode(**changed: Column | None) -> Column:
+        given = {f: changed.get(f, F.col(f)) for f in _FIELDS}
+        packed = F.struct(*[c.alias(f) for f, c in given.items() if c is not None])
         return F.to_json(packed, {"ignoreNullFields": "false"})
 
     return (
         F.when(fault == 50, F.lit("{not valid json"))
-        .when(fault == 20, encode({f: c for f, c in fields.items() if f != "volume"}))
-        .when(fault == 60, encode(fields | {"price": F.lit("NaN-dollars")}))
-        .otherwise(encode(fields))
+        .when(fault == 20, encode(volume=None))
+        .when(fault == 60, encode(price=F.lit("NaN-dollars")))
+        .otherwise(encode())
     )
 
 
@@ -57,12 +66,19 @@ def bus_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     n = F.col("event_id")
-    copies = F.when(n % 25 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return events.select("*", F.explode(copies).alias("copy")).select(
-        F.when(n % 100 != 80, F.col("event_type")).cast("binary").alias("key"),
-        _wire_json(n).cast("binary").alias("value"),
+    copies = F.when(F.col("n") % 25 == 1, F.array(F.lit(0), F.lit(1))).otherwise(
+        F.array(F.lit(0))
+    )
+    wire = events.select(
+        n.alias("n"), F.col("ts").cast("timestamp").alias("at"),
+        *[c.alias(f) for f, c in _wire_fields(n).items()],
+    )
+    texts = wire.select("n", "at", "symbol", _wire_json(F.col("n") % 100).alias("value"))
+    return texts.select("*", F.explode(copies).alias("copy")).select(
+        F.col("symbol").cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
         F.lit(TOPIC).alias("topic"),
-        (n % 3).cast("int").alias("partition"),
-        (n * 2 + F.col("copy")).alias("offset"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        (F.col("n") % 3).cast("int").alias("partition"),
+        (F.col("n") * 2 + F.col("copy")).alias("offset"),
+        F.col("at").alias("timestamp"),
     )

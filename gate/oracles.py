@@ -387,6 +387,11 @@ ORACLES: dict[str, str] = {
         SELECT 'raw events' AS "table", count(*) AS rows FROM raw
         UNION ALL SELECT 'aggregates', count(*) FROM aggregates
         UNION ALL SELECT 'dead letter', count(*) FROM letters"""),
+    "table_round_trip": _sql(_RAW, """
+        SELECT event_date, symbol, exchange, count(*) AS events,
+          CAST(sum(event_year) AS BIGINT) AS years, count(*) AS window_events,
+          CAST(sum(volume) AS BIGINT) AS total_volume
+        FROM raw GROUP BY 1, 2, 3"""),
     "latest_events": _sql(_RAW, """
         SELECT event_id, symbol, round(price, 2) AS price, volume, exchange, event_hour
         FROM raw ORDER BY event_timestamp DESC, event_id LIMIT 5"""),
@@ -479,6 +484,8 @@ ORACLES: dict[str, str] = {
         SELECT * EXCLUDE (processing_time) FROM aggregates"""),
     "stream_dlq": _sql(_TAGGED + _LETTERS, """
         SELECT original_message, error_reason, pipeline_name FROM letters"""),
+    "metrics_progress": _sql(_WIRE, """
+        SELECT 'raw_events' AS query, count(*) AS input_rows FROM wire"""),
     "staged_tables": _sql(_RAW + _AGGREGATES + _LETTERS, """
         SELECT 'raw events' AS "table", count(*) AS rows FROM raw
         UNION ALL SELECT 'aggregates', count(*) FROM aggregates

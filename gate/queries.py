@@ -26,7 +26,8 @@ from tidewatch.operators.ticks import tick_change
 from tidewatch.operators.windows import aggregate_windows
 from tidewatch.plans import alerts, quality, views
 from tidewatch.plans.batch import EventTables, event_tables
-from tidewatch.settings import StreamOptions, new_folder, use_utc
+from tidewatch.settings import StreamOptions, new_folder, settle, use_utc
+from tidewatch.sinks.tables import write_tables
 from tidewatch.sources.records import as_records, read_table, stream_records
 from tidewatch.streaming.listener import ProgressListener
 from tidewatch.streaming.run import finish, start_stream
@@ -363,6 +364,25 @@ def table_row_counts(spark, sf_dir):
     )
 
 
+@query
+def table_round_trip(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    base = new_folder(spark, "tables")
+    write_tables({"events_raw": t.raw_events, "events_aggregates_1m": t.aggregates,
+                  "dead_letter_events": t.letters}, base)
+    raw = read_table(spark, base, "events_raw").groupBy("event_date", "symbol", "exchange").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("event_year").alias("years")
+    )
+    windows = read_table(spark, base, "events_aggregates_1m")
+    windows = windows.groupBy("event_date", "symbol", "exchange").agg(
+        F.sum("event_count").alias("window_events"), F.sum("total_volume").alias("total_volume")
+    )
+    same = [raw[c].eqNullSafe(windows[c]) for c in ("event_date", "symbol", "exchange")]
+    joined = raw.join(windows, same, "full_outer")
+    return joined.select(raw["event_date"], raw["symbol"], raw["exchange"], "events", "years",
+                         "window_events", "total_volume")
+
+
 @query
 def latest_events(spark, sf_dir):
     return plain(views.latest_events(tables(spark, sf_dir).raw_events))
@@ -381,8 +401,12 @@ def events_per_day(spark, sf_dir):
 @query
 def symbol_star_join(spark, sf_dir):
     t = tables(spark, sf_dir)
-    symbols = t.valid.groupBy("symbol").agg(F.max("company").alias("dim_company"))
-    days = views.calendar(t.raw_events).select(
+    # Both dimensions from one small table of what there is.
+    seen = settle(
+        t.raw_events.groupBy("symbol", "event_date").agg(F.max("company").alias("company")), "seen"
+    )
+    symbols = seen.groupBy("symbol").agg(F.max("company").alias("dim_company"))
+    days = views.calendar(seen).select(
         F.col("date").alias("event_date"), F.col("year").alias("dim_year"),
         F.col("month").alias("dim_month"),
     )
@@ -576,6 +600,4 @@ def metrics_progress(spark, sf_dir):
     finally:
         spark.streams.removeListener(listener)
     metrics = listener.metrics(spark)
-    return metrics.groupBy("query").agg(
-        F.count(F.lit(1)).alias("batches"), F.sum("num_input_rows").alias("input_rows")
-    )
+    return metrics.groupBy("query").agg(F.sum("num_input_rows").alias("input_rows"))

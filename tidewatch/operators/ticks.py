@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..settings import settle
 from .windows import interval_seconds
 
-_MIN_SLICE = -(2**63)
+_BEFORE_ALL = -(2**63)  # where events without a time go
 
 
 def tick_change(
@@ -28,13 +28,16 @@ def tick_change(
     Here each key is cut into time slices that are lagged on their own; the
     last value of a slice is handed to the next one through a small table of
     one row per key and slice.  That table is worked out first, in one pass;
-    should it show a single slice to be hot, the ticks are cut into equal
-    ranges of (key, order) instead.
+    should it show a hot slice, slices are made as much finer as it takes, and
+    if even then one is hot, because too many ticks share an instant, the
+    ticks are cut into equal ranges of (key, order) instead.
     """
-    sliced = events.withColumn("_slice", _time_slice(F.col(order[0]), slice_width))
-    ends = settle(_slice_ends(sliced, key, order, value), "tick-slices")
-    hottest, total = ends.agg(F.max("_rows"), F.sum("_rows")).first()
-    if hottest is not None and hottest > max_slice_rows:
+    width = int(interval_seconds(slice_width) * 1_000_000)
+    sliced, ends, hottest, total = _slices(events, key, order, value, width)
+    if hottest > max_slice_rows:
+        width = max(1, width * max_slice_rows // (2 * hottest))
+        sliced, ends, hottest, total = _slices(events, key, order, value, width)
+    if hottest > max_slice_rows:
         ranged = events.repartitionByRange(max(2, 2 * total // max_slice_rows), key, *order)
         # Settled, because both uses below must see one and the same cut.
         sliced = settle(ranged.withColumn("_slice", F.spark_partition_id().cast("long")), "ticks")
@@ -68,11 +71,14 @@ def tick_change(
     )
 
 
-def _time_slice(ts: Column, width: str) -> Column:
-    micros = int(interval_seconds(width) * 1_000_000)
-    return F.coalesce(
-        F.floor(F.unix_micros(ts.cast("timestamp")) / micros).cast("long"), F.lit(_MIN_SLICE)
-    )
+def _slices(events: DataFrame, key: str, order: tuple[str, ...], value: str, micros: int):
+    """Events cut by time, the ends of the slices, the largest slice and all rows."""
+    since = F.unix_micros(F.col(order[0]).cast("timestamp"))
+    number = F.coalesce(F.floor(since / micros).cast("long"), F.lit(_BEFORE_ALL))
+    sliced = events.withColumn("_slice", number)
+    ends = settle(_slice_ends(sliced, key, order, value), "tick-slices")
+    sizes = ends.agg(F.max("_rows"), F.sum("_rows")).first()
+    return sliced, ends, sizes[0] or 0, sizes[1] or 0
 
 
 def _slice_ends(sliced: DataFrame, key: str, order: tuple[str, ...], value: str) -> DataFrame:

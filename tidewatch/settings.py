@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cache
 
@@ -51,6 +52,20 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def session_settings(spark: SparkSession, **settings: str | None):
+    """Set session options for a while; NULLs are left alone.  Dots are written as ``__``."""
+    wanted = {k.replace("__", "."): v for k, v in settings.items() if v is not None}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows, without counting beyond them."""
     return df.limit(max_rows + 1).count() <= max_rows
@@ -69,4 +84,5 @@ class StreamOptions:
     max_offsets_per_trigger: int = 5000
     max_files_per_trigger: int | None = None
     checkpoints: str | None = None
+    shuffle_partitions: int | None = None  # of stateful queries; fixed by their first run
     state_store: str = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

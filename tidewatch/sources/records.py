@@ -79,7 +79,8 @@ def spread_out(df: DataFrame) -> DataFrame:
 
     Judging JSON costs far more than moving it, so a feed that arrives in a
     few unsplittable row groups would leave the cluster idle.  A source with
-    enough splits is passed on as it is.
+    enough splits is passed on as it is.  For plain scans: a frame that already
+    shuffles would be run to find out.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

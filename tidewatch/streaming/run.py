@@ -15,7 +15,7 @@ from ..contracts import (
 )
 from ..operators.routing import dead_letter_values
 from ..plans.batch import event_tables
-from ..settings import StreamOptions, new_folder
+from ..settings import StreamOptions, new_folder, session_settings
 from ..sinks.tables import batch_writer
 
 OUTPUTS: dict[str, TableLayout] = {
@@ -26,9 +26,7 @@ OUTPUTS: dict[str, TableLayout] = {
 
 
 def _writer(df: DataFrame, name: str, options: StreamOptions) -> DataStreamWriter:
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", options.state_store)
-    checkpoints = options.checkpoints or new_folder(spark, "checkpoints")
+    checkpoints = options.checkpoints or new_folder(df.sparkSession, "checkpoints")
     writer = (
         df.writeStream.queryName(name)
         .outputMode("append")
@@ -39,6 +37,16 @@ def _writer(df: DataFrame, name: str, options: StreamOptions) -> DataStreamWrite
     return writer.trigger(processingTime=options.trigger)
 
 
+def _start(writer: DataStreamWriter, df: DataFrame, options: StreamOptions) -> StreamingQuery:
+    """Start under the stream's settings; a query keeps those it was started with."""
+    with session_settings(
+        df.sparkSession,
+        spark__sql__streaming__stateStore__providerClass=options.state_store,
+        spark__sql__shuffle__partitions=options.shuffle_partitions,
+    ):
+        return writer.start()
+
+
 def start_table(
     df: DataFrame,
     name: str,
@@ -55,15 +63,16 @@ def start_table(
     """
     if sink == "parquet":
         return start_partitioned(df, name, f"{base}/{layout.name}", layout.partition_by, options)
-    writer = _writer(df, name, options)
-    return writer.foreachBatch(batch_writer(sink, base, layout, **sink_options)).start()
+    write = batch_writer(sink, base, layout, **sink_options)
+    return _start(_writer(df, name, options).foreachBatch(write), df, options)
 
 
 def start_partitioned(
     df: DataFrame, name: str, path: str, partition_by: str, options: StreamOptions
 ) -> StreamingQuery:
     """Stream a frame into partitioned Parquet files, every batch counted once."""
-    return _writer(df, name, options).format("parquet").partitionBy(partition_by).start(path)
+    writer = _writer(df, name, options).format("parquet").option("path", path)
+    return _start(writer.partitionBy(partition_by), df, options)
 
 
 def start_values(
@@ -74,7 +83,7 @@ def start_values(
     **sink_options: str,
 ) -> StreamingQuery:
     """Stream a frame of bus values to Kafka (``fmt="kafka"``) or to text files."""
-    return _writer(df, name, options).format(fmt).options(**sink_options).start()
+    return _start(_writer(df, name, options).format(fmt).options(**sink_options), df, options)
 
 
 def start_stream(
