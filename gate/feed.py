@@ -7,78 +7,55 @@ can tell which, and some rows are delivered twice.  No row is left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.sources.records import spread_out
 
 TOPIC = "events"
 AS_OF = "2024-01-29 12:00:00"
 
+# The nine wire fields of an `events` row; faults that are a matter of value.
+_FIELDS = {
+    "event_id": "CAST(event_id AS STRING)",
+    "symbol": "CASE WHEN event_id % 100 <> 80 THEN event_type END",
+    "company": "concat(initcap(event_type), ' Inc.')",
+    "price": "CASE WHEN event_id % 100 = 0 THEN -abs(value) ELSE value END",
+    "volume": "CASE WHEN event_id % 100 = 70 THEN -k - 1 ELSE k END",
+    "change": "round(value - 50, 4)",
+    "change_percent": "CASE WHEN event_id % 100 = 30 THEN 5000.0D "
+    "ELSE round((value - 50) / 50 * 100, 4) END",
+    "timestamp": "CASE WHEN event_id % 100 = 40 THEN 'not-a-real-timestamp' "
+    """ELSE date_format(CAST(ts AS TIMESTAMP), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") END""",
+    "exchange": "CASE WHEN event_id % 100 = 10 THEN 'MARS' WHEN event_id % 7 = 0 THEN NULL "
+    "WHEN event_id % 3 = 0 THEN 'NYSE' ELSE 'NASDAQ' END",
+}
 
-_FIELDS = ("event_id", "symbol", "company", "price", "volume", "change", "change_percent",
-           "timestamp", "exchange")
 
+def _encoded(**changed: str | None) -> str:
+    given = {f: changed.get(f, f"`{f}`") for f in _FIELDS}
+    pairs = ", ".join(f"'{f}', {text}" for f, text in given.items() if text is not None)
+    return f"to_json(named_struct({pairs}), map('ignoreNullFields', 'false'))"
 
-def _wire_fields(n: Column) -> dict[str, Column]:
-    """The nine wire fields of an `events` row, faults included that are a matter of value."""
-    fault = n % 100
-    k = F.get_json_object("props", "$.k").cast("long")
-    value = F.col("value")
-    ts = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return {
-        "event_id": n.cast("string"),
-        "symbol": F.when(fault != 80, F.col("event_type")),
-        "company": F.concat(F.initcap("event_type"), F.lit(" Inc.")),
-        "price": F.when(fault == 0, -F.abs(value)).otherwise(value),
-        "volume": F.when(fault == 70, -k - 1).otherwise(k),
-        "change": F.round(value - 50, 4),
-        "change_percent": F.when(fault == 30, F.lit(5000.0)).otherwise(
-            F.round((value - 50) / 50 * 100, 4)
-        ),
-        "timestamp": F.when(fault == 40, F.lit("not-a-real-timestamp")).otherwise(ts),
-        "exchange": F.when(fault == 10, "MARS").when(n % 7 == 0, F.lit(None).cast("string"))
-        .when(n % 3 == 0, "NYSE").otherwise("NASDAQ"),
-    }
 
-
-def _wire_json(fault: Column) -> Column:
-    """The fields as JSON text, faults included that are a matter of form."""
-
-    def encode(**changed: Column | None) -> Column:
-        given = {f: changed.get(f, F.col(f)) for f in _FIELDS}
-        packed = F.struct(*[c.alias(f) for f, c in given.items() if c is not None])
-        return F.to_json(packed, {"ignoreNullFields": "false"})
-
-    return (
-        F.when(fault == 50, F.lit("{not valid json"))
-        .when(fault == 20, encode(volume=None))
-        .when(fault == 60, encode(price=F.lit("NaN-dollars")))
-        .otherwise(encode())
-    )
+# The fields as JSON text; faults that are a matter of form.
+_VALUE = f"""CASE n % 100 WHEN 50 THEN '{{not valid json' WHEN 20 THEN {_encoded(volume=None)}
+    WHEN 60 THEN {_encoded(price="'NaN-dollars'")} ELSE {_encoded()} END"""
 
 
 def bus_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` as bus records (the columns of KAFKA_SCHEMA)."""
-    events = spread_out(
-        spark.read.parquet(f"{sf_dir}/events.parquet").select(
-            "event_id", "ts", "event_type", "value", "props"
-        )
-    )
-    n = F.col("event_id")
-    copies = F.when(F.col("n") % 25 == 1, F.array(F.lit(0), F.lit(1))).otherwise(
-        F.array(F.lit(0))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "event_id", "ts", "event_type", "value",
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
     )
-    wire = events.select(
-        n.alias("n"), F.col("ts").cast("timestamp").alias("at"),
-        *[c.alias(f) for f, c in _wire_fields(n).items()],
+    wire = spread_out(events).selectExpr(
+        "event_id AS n", "CAST(ts AS TIMESTAMP) AS at",
+        *[f"{text} AS `{name}`" for name, text in _FIELDS.items()],
     )
-    texts = wire.select("n", "at", "symbol", _wire_json(F.col("n") % 100).alias("value"))
-    return texts.select("*", F.explode(copies).alias("copy")).select(
-        F.col("symbol").cast("binary").alias("key"),
-        F.col("value").cast("binary").alias("value"),
-        F.lit(TOPIC).alias("topic"),
-        (F.col("n") % 3).cast("int").alias("partition"),
-        (F.col("n") * 2 + F.col("copy")).alias("offset"),
-        F.col("at").alias("timestamp"),
+    return wire.selectExpr(
+        "n", "at", "symbol", f"{_VALUE} AS value",
+        "explode(CASE WHEN n % 25 = 1 THEN array(0, 1) ELSE array(0) END) AS copy",
+    ).selectExpr(
+        "CAST(symbol AS BINARY) AS key", "CAST(value AS BINARY) AS value", f"'{TOPIC}' AS topic",
+        "CAST(n % 3 AS INT) AS partition", "n * 2 + copy AS offset", "at AS timestamp",
     )

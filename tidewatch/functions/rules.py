@@ -110,14 +110,9 @@ _TYPE_NAMES = {
 _NUMBER = ("BIGINT", "DECIMAL", "DOUBLE")
 
 
-def _json_type(variant: Column) -> Column:
-    """The leading type name: DECIMAL(4,2) -> DECIMAL, OBJECT<...> -> OBJECT."""
-    return F.regexp_extract(F.schema_of_variant(variant), r"^([A-Z]+)", 1)
-
-
-def _type_name(json_type: Column) -> Column:
-    pairs = [F.lit(x) for kv in _TYPE_NAMES.items() for x in kv]
-    return F.element_at(F.create_map(*pairs), json_type)
+def _type_name(json_type: str) -> Column:
+    pairs = ", ".join(f"'{x}'" for kv in _TYPE_NAMES.items() for x in kv)
+    return F.expr(f"element_at(map({pairs}), {json_type})")
 
 
 def read_json(df: DataFrame, raw: str = "raw_value") -> DataFrame:
@@ -127,23 +122,30 @@ def read_json(df: DataFrame, raw: str = "raw_value") -> DataFrame:
     concluded from them behind ``add_once`` before filtering on it.
     """
     numeric = ("price", "volume", "change", "change_percent")
-    df = df.withColumn("_doc", F.try_parse_json(raw))
-    df = df.withColumns(
-        {f"_v_{f}": F.try_variant_get("_doc", f"$.{f}", "variant") for f in WIRE_FIELDS}
+    numbers = ", ".join(f"'{t}'" for t in _NUMBER)
+
+    def json_type(value: str) -> str:
+        # The leading type name: DECIMAL(4,2) -> DECIMAL, OBJECT<...> -> OBJECT.
+        return f"regexp_extract(schema_of_variant({value}), '^([A-Z]+)', 1)"
+
+    df = df.withColumn("_doc", F.try_parse_json(raw)).selectExpr(
+        "*", *[f"try_variant_get(_doc, '$.{f}', 'variant') AS _v_{f}" for f in WIRE_FIELDS]
     )
-    df = df.withColumns(
-        {f"_t_{f}": _json_type(F.col(f"_v_{f}")) for f in WIRE_FIELDS}
-        | {f"_s_{f}": F.try_variant_get(f"_v_{f}", "$", "string") for f in WIRE_FIELDS}
+    df = df.selectExpr(
+        "*",
+        *[f"{json_type(f'_v_{f}')} AS _t_{f}" for f in WIRE_FIELDS],
+        *[f"try_variant_get(_v_{f}, '$', 'string') AS _s_{f}" for f in WIRE_FIELDS],
     )
-    numbers = {
-        f"_n_{f}": F.when(
-            F.col(f"_t_{f}").isin(*_NUMBER), F.try_variant_get(f"_v_{f}", "$", "double")
-        )
-        for f in numeric
-    }
+    root = F.when(F.col(raw).rlike(r"^\s*\{"), "OBJECT").otherwise(F.expr(json_type("_doc")))
     stamp = F.when(F.col("_t_timestamp") == "STRING", iso_timestamp(F.col("_s_timestamp")))
-    root = F.when(F.col(raw).rlike(r"^\s*\{"), "OBJECT").otherwise(_json_type(F.col("_doc")))
-    return df.withColumns(numbers | {"_iso_ts": stamp, "_doc_type": root})
+    return df.selectExpr(
+        "*",
+        *[
+            f"CASE WHEN _t_{f} IN ({numbers}) THEN try_variant_get(_v_{f}, '$', 'double') END "
+            f"AS _n_{f}"
+            for f in numeric
+        ],
+    ).withColumns({"_iso_ts": stamp, "_doc_type": root})
 
 
 def drop_json(df: DataFrame) -> DataFrame:
@@ -153,19 +155,19 @@ def drop_json(df: DataFrame) -> DataFrame:
 
 
 def _absent(field: str) -> Column:
-    return F.col(f"_v_{field}").isNull()
+    return F.expr(f"_v_{field} IS NULL")
 
 
 def _null(field: str) -> Column:
-    return F.col(f"_t_{field}") == "VOID"
+    return F.expr(f"_t_{field} = 'VOID'")
 
 
-def _has_type(field: str, *types: str) -> Column:
-    return F.col(f"_t_{field}").isin(*types)
+def _given(field: str) -> Column:
+    return F.expr(f"_v_{field} IS NOT NULL AND _t_{field} <> 'VOID'")
 
 
-def _given(field: str) -> Column:
-    return ~_absent(field) & ~_null(field)
+def _has_type(field: str, *types: str) -> Column:
+    return F.expr(f"_t_{field} IN ({', '.join(repr(t) for t in types)})")
 
 
 def failure_list(as_of: Column, bounds: RuleBounds = RuleBounds()) -> Column:
@@ -185,10 +187,10 @@ def failure_list(as_of: Column, bounds: RuleBounds = RuleBounds()) -> Column:
             F.to_json(F.col(f"_v_{f}"))
         )
         said = F.concat(F.lit(f"wrong_type: '{f}' must be numeric, got "),
-                        _type_name(F.col(f"_t_{f}")), F.lit(" ("), shown, F.lit(")"))
+                        _type_name(f"_t_{f}"), F.lit(" ("), shown, F.lit(")"))
         checks.append((_given(f) & ~_has_type(f, *_NUMBER), said))
     said = F.concat(F.lit("wrong_type: 'volume' must be integer, got "),
-                    _type_name(F.col("_t_volume")))
+                    _type_name("_t_volume"))
     checks.append((_given("volume") & ~_has_type("volume", "BIGINT"), said))
 
     exchange = []
@@ -214,7 +216,7 @@ def failure_list(as_of: Column, bounds: RuleBounds = RuleBounds()) -> Column:
     checks += [
         (_given("timestamp") & ~is_text,
          F.concat(F.lit("invalid_timestamp: must be ISO-8601 string, got "),
-                  _type_name(F.col("_t_timestamp")))),
+                  _type_name("_t_timestamp"))),
         (is_text & stamp.isNull(),
          F.concat(F.lit("invalid_timestamp: '"), text, F.lit("' is not valid ISO-8601"))),
         (ahead > bounds.max_skew_seconds,
@@ -228,7 +230,7 @@ def failure_list(as_of: Column, bounds: RuleBounds = RuleBounds()) -> Column:
         .when(
             F.col("_doc_type") != "OBJECT",
             F.array(F.concat(F.lit("wrong_root_type: expected object, got "),
-                             _type_name(F.col("_doc_type")))),
+                             _type_name("_doc_type"))),
         )
         .otherwise(F.filter(found, lambda x: x.isNotNull()))
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 
@@ -17,37 +18,51 @@ from ..settings import StreamOptions
 
 @dataclass(frozen=True)
 class EventTables:
-    """The frames of one run; batch or streaming like the records they came from."""
-
-    tagged: DataFrame
-    valid: DataFrame
-    invalid: DataFrame
-    enriched: DataFrame
-    raw_events: DataFrame
-    aggregates: DataFrame
-    letters: DataFrame
-
-
-def event_tables(
-    records: DataFrame,
-    bounds: RuleBounds = RuleBounds(),
-    options: StreamOptions = StreamOptions(),
-    pipeline_name: str = DEFAULT_PIPELINE_NAME,
-    as_of: Column | None = None,
-) -> EventTables:
-    """Parse, judge, split, deduplicate, enrich and aggregate bus records.
-
-    ``as_of`` replaces the processing clock where results must be repeatable.
+    """The frames of one run, built when first asked for.
+
+    Batch or streaming like the records they come from.  ``as_of`` replaces
+    the processing clock where results must be repeatable.
     """
-    tagged = tag_events(parse_events(records), bounds)
-    valid, invalid = split_events(tagged)
-    enriched = enrich_events(deduplicate(valid, options), as_of)
-    return EventTables(
-        tagged=tagged,
-        valid=valid,
-        invalid=invalid,
-        enriched=enriched,
-        raw_events=raw_event_columns(enriched),
-        aggregates=aggregate_windows(enriched, options.window, options.slide, as_of),
-        letters=dead_letters(invalid, pipeline_name, as_of),
-    )
+
+    records: DataFrame
+    bounds: RuleBounds = RuleBounds()
+    options: StreamOptions = StreamOptions()
+    pipeline_name: str = DEFAULT_PIPELINE_NAME
+    as_of: Column | None = None
+
+    @cached_property
+    def tagged(self) -> DataFrame:
+        """Parsed records with the reason they are invalid, if they are."""
+        return tag_events(parse_events(self.records), self.bounds)
+
+    @cached_property
+    def valid(self) -> DataFrame:
+        return split_events(self.tagged)[0]
+
+    @cached_property
+    def invalid(self) -> DataFrame:
+        return split_events(self.tagged)[1]
+
+    @cached_property
+    def enriched(self) -> DataFrame:
+        """Valid events, one per event id, with their derived columns."""
+        return enrich_events(deduplicate(self.valid, self.options), self.as_of)
+
+    @cached_property
+    def raw_events(self) -> DataFrame:
+        return raw_event_columns(self.enriched)
+
+    @cached_property
+    def aggregates(self) -> DataFrame:
+        return aggregate_windows(
+            self.enriched, self.options.window, self.options.slide, self.as_of
+        )
+
+    @cached_property
+    def letters(self) -> DataFrame:
+        return dead_letters(self.invalid, self.pipeline_name, self.as_of)
+
+
+def event_tables(records: DataFrame, **settings) -> EventTables:
+    """Parse, judge, split, deduplicate, enrich and aggregate bus records."""
+    return EventTables(records, **settings)

@@ -102,17 +102,19 @@ def start_stream(
     Outputs: ``raw_events``, ``aggregates`` and ``dead_letters`` go to tables
     below ``base``, ``dead_letter_bus`` goes out as JSON values.
     """
-    tables = event_tables(records, bounds, options, pipeline_name)
+    tables = event_tables(
+        records, bounds=bounds, options=options, pipeline_name=pipeline_name
+    )
     frames = {
-        "raw_events": tables.raw_events,
-        "aggregates": tables.aggregates,
-        "dead_letters": tables.letters,
+        "raw_events": lambda: tables.raw_events,
+        "aggregates": lambda: tables.aggregates,
+        "dead_letters": lambda: tables.letters,
     }
     unknown = set(outputs) - set(frames) - {"dead_letter_bus"}
     if unknown:
         raise ValueError(f"unknown outputs: {', '.join(sorted(unknown))}")
     queries = {
-        name: start_table(frames[name], name, OUTPUTS[name], base, options, sink)
+        name: start_table(frames[name](), name, OUTPUTS[name], base, options, sink)
         for name in outputs
         if name in frames
     }
