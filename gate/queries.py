@@ -533,11 +533,17 @@ def _land(spark: SparkSession, sf_dir: str, last_record: bool) -> str:
     return feed
 
 
+def _stream_options(spark: SparkSession, **options) -> StreamOptions:
+    """Take in all there is, with a state partition per core."""
+    cores = spark.sparkContext.defaultParallelism
+    return StreamOptions(available_now=True, shuffle_partitions=cores, **options)
+
+
 def _streamed(spark: SparkSession, sf_dir: str, output: str, **options) -> str:
     """Run one output of the job as a stream over the landed feed; where it wrote to."""
     base = new_folder(spark, "out")
     stream = stream_records(spark, _land(spark, sf_dir, output == "aggregates"))
-    opts = StreamOptions(available_now=True, **options)
+    opts = _stream_options(spark, **options)
     finish(start_stream(stream, base, opts, outputs=(output,)))
     return base
 
@@ -579,7 +585,7 @@ def stream_dlq_bus(spark, sf_dir):
 @query
 def staged_tables(spark, sf_dir):
     base = new_folder(spark, "out")
-    run_staged(stream_records(spark, _land(spark, sf_dir, True)), base)
+    run_staged(stream_records(spark, _land(spark, sf_dir, True)), base, _stream_options(spark))
     windows = read_table(spark, base, "events_aggregates_1m")
     raw = read_table(spark, base, "events_raw").filter(F.col("symbol") != "-")
     counts = views.row_counts(

@@ -183,6 +183,7 @@ def test_scorecard(bus, event):
     assert (row.completeness, row.validity) == (66.67, 50.0)
     assert (row.uniqueness, row.timeliness, row.consistency) == (83.33, 66.67, 66.67)
     assert (row.overall_score, row.grade) == (66.67, "red")
+    assert quality.scorecard(judged, approximate=True).first().duplicate_records == 1
     reasons = {r.reason: r["count"] for r in quality.top_reasons(judged, by_code=True).collect()}
     assert reasons == {"invalid_price": 1, "null_value": 1, "corrupted_json": 1}
 

@@ -200,6 +200,21 @@ def test_kafka_options():
             kafka_options(**({"servers": "b", "topic": "t"} | bad))
 
 
+def test_kafka_needs_its_connector(spark):
+    """All but the connector is there: the load gets as far as looking it up."""
+    from tidewatch.sources.records import read_kafka
+
+    with pytest.raises(Exception, match="kafka"):
+        read_kafka(spark, "broker:9092", "events", ONCE, starting_offsets="earliest")
+
+
+def test_stream_settings_are_put_back(spark, feed, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    options = StreamOptions(available_now=True, shuffle_partitions=2)
+    run(spark, feed(("1", 0, {})), tmp_path / "out", options, outputs=("raw_events",))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_sources(spark, bus, event):
     assert instruments(spark).count() == len(INSTRUMENTS)
     wrapped = as_records(spark.createDataFrame([("{}", "k")], "j string, s string"), "j", "s")
@@ -303,3 +318,18 @@ def test_failure_with_the_native_sink(spark, feed, tmp_path):
     finish(start_stream(records, base, options, outputs=("raw_events",)))
     ids = [r.event_id for r in read_table(spark, base, "events_raw").collect()]
     assert sorted(ids) == ["a0", "a1", "a2"]
+
+
+def test_wait_and_stop(spark, feed, tmp_path):
+    """When one query dies, the others are stopped and the failure is raised."""
+    from tidewatch.streaming.run import wait_and_stop
+
+    records = stream_records(spark, feed(("1", 0, {})), "text")
+    options = StreamOptions(trigger="1 second")
+    queries = start_stream(records, str(tmp_path / "a"), options, outputs=("raw_events",))
+    broken = records.withColumn("value", F.raise_error(F.lit("gone")).cast("binary"))
+    queries |= start_stream(broken, str(tmp_path / "b"), options, outputs=("dead_letters",))
+    spark.streams.resetTerminated()
+    with pytest.raises(Exception, match="gone"):
+        wait_and_stop(spark, queries)
+    assert not any(q.isActive for q in queries.values())

@@ -48,11 +48,12 @@ def duplicate_count(key: str = "event_id", approximate: bool = False) -> Column:
     return F.count(key) - distinct
 
 
-def scorecard(judged: DataFrame) -> DataFrame:
+def scorecard(judged: DataFrame, approximate: bool = False) -> DataFrame:
     """The five scores, their mean and the totals, as one row.
 
-    One pass; rows are combined per event id before the shuffle.  No records
-    at all score 100 everywhere.
+    One pass; rows are combined per event id before the shuffle, or, when an
+    approximate duplicate count will do, before one row per task is.  No
+    records at all score 100 everywhere.
     """
     counted = judged.agg(
         F.count(F.lit(1)).alias("total_records"),
@@ -60,7 +61,7 @@ def scorecard(judged: DataFrame) -> DataFrame:
         F.count_if("valid").alias("valid_records"),
         F.count_if("consistent").alias("_consistent"),
         F.count_if("timely").alias("_timely"),
-        duplicate_count().alias("duplicate_records"),
+        duplicate_count(approximate=approximate).alias("duplicate_records"),
     )
     total = F.col("total_records")
     scored = counted.select(

@@ -53,9 +53,9 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
 
 
 @contextmanager
-def session_settings(spark: SparkSession, **settings: str | None):
-    """Set session options for a while; NULLs are left alone.  Dots are written as ``__``."""
-    wanted = {k.replace("__", "."): v for k, v in settings.items() if v is not None}
+def session_settings(spark: SparkSession, settings: dict[str, str | None]):
+    """Set session options for a while; those given as None are left alone."""
+    wanted = {k: v for k, v in settings.items() if v is not None}
     before = {k: spark.conf.get(k, None) for k in wanted}
     try:
         for k, v in wanted.items():

@@ -39,11 +39,12 @@ def _writer(df: DataFrame, name: str, options: StreamOptions) -> DataStreamWrite
 
 def _start(writer: DataStreamWriter, df: DataFrame, options: StreamOptions) -> StreamingQuery:
     """Start under the stream's settings; a query keeps those it was started with."""
-    with session_settings(
-        df.sparkSession,
-        spark__sql__streaming__stateStore__providerClass=options.state_store,
-        spark__sql__shuffle__partitions=options.shuffle_partitions,
-    ):
+    partitions = options.shuffle_partitions
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": options.state_store,
+        "spark.sql.shuffle.partitions": str(partitions) if partitions else None,
+    }
+    with session_settings(df.sparkSession, settings):
         return writer.start()
 
 
