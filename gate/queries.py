@@ -184,7 +184,7 @@ def publish_keyed(spark, sf_dir):
 @query
 def dedup_events(spark, sf_dir):
     kept = deduplicate_batch(tables(spark, sf_dir).valid)
-    return kept.select("event_id", "kafka_partition", "kafka_offset", "symbol", "price")
+    return plain(kept.select("event_id", "kafka_partition", "kafka_offset", "symbol", "price"))
 
 
 @query

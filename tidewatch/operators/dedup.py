@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,8 +44,29 @@ def deduplicate_stream(
     The one place a stream gets its watermark.  A replay later than the
     watermark delay is not caught: that is the price of bounded state.
     """
+    if not options.deduplicate:
+        return events.withWatermark("event_ts", options.watermark)
+    if options.squash_copies:
+        events = squash_copies(events, key)
     watermarked = events.withWatermark("event_ts", options.watermark)
-    return watermarked.dropDuplicatesWithinWatermark([key]) if options.deduplicate else watermarked
+    return watermarked.dropDuplicatesWithinWatermark([key])
+
+
+def squash_copies(events: DataFrame, key: str = "event_id") -> DataFrame:
+    """Drop repeated keys within each Arrow batch of rows, without a shuffle.
+
+    A stream cannot combine rows before its stateful shuffle, so all copies of
+    one id would go to one task; this leaves one per batch of some thousand
+    rows.  Copies in different batches remain for the deduplication proper.
+    """
+
+    def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(key).dictionary_encode().indices.fill_null(-1).to_numpy()
+            _, first = np.unique(ids, return_index=True)
+            yield batch if len(first) == len(ids) else batch.take(pa.array(np.sort(first)))
+
+    return events.mapInArrow(first_of_each, events.schema)
 
 
 def deduplicate(events: DataFrame, options: StreamOptions = StreamOptions()) -> DataFrame:

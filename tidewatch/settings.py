@@ -81,6 +81,7 @@ class StreamOptions:
     trigger: str = "30 seconds"
     available_now: bool = False
     deduplicate: bool = True
+    squash_copies: bool = False  # before the stateful shuffle; for large micro-batches
     max_offsets_per_trigger: int = 5000
     max_files_per_trigger: int | None = None
     checkpoints: str | None = None

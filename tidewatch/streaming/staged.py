@@ -14,7 +14,14 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import AGGREGATES, DEAD_LETTERS, DEFAULT_PIPELINE_NAME, RAW_EVENTS, RuleBounds
+from ..contracts import (
+    AGGREGATES,
+    DEAD_LETTERS,
+    DEFAULT_PIPELINE_NAME,
+    RAW_EVENTS,
+    WIRE_FIELDS,
+    RuleBounds,
+)
 from ..functions.enrich import enrich_events, raw_event_columns
 from ..functions.parse import parse_events
 from ..operators.dedup import deduplicate_stream
@@ -40,7 +47,10 @@ def run_staged(
     """
     spark = records.sparkSession
     options = replace(
-        options, available_now=True, checkpoints=options.checkpoints or f"{base}/_checkpoints"
+        options,
+        available_now=True,
+        squash_copies=True,
+        checkpoints=options.checkpoints or f"{base}/_checkpoints",
     )
     judged = tag_events(parse_events(records), bounds).withColumn(
         "is_valid", F.col(REASON).isNull()
@@ -49,7 +59,8 @@ def run_staged(
     finish({"judge": start_partitioned(judged, "judge", path, "is_valid", options)})
 
     tagged = spark.readStream.schema(judged.schema).parquet(path)
-    valid = tagged.filter("is_valid").drop("is_valid", REASON, "raw_value")
+    kept = [f for f in WIRE_FIELDS if f != "timestamp"]
+    valid = tagged.filter("is_valid").select(*kept, "event_ts")
     letters = dead_letters(tagged.filter("NOT is_valid"), pipeline_name)
     raw = raw_event_columns(enrich_events(deduplicate_stream(valid, options)))
     finish(
