@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from tidewatch.llm.mixing import OP3_SQL, op3_mixing
 from tidewatch.llm.quality import op9_quality
 from tidewatch.llm.simhash import op8_simhash
 
 QUERIES = {
+    "op3_mixing": op3_mixing,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_mixing": OP3_SQL,
+}
