@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from tidewatch.llm.lines import OP4_SQL, op4_lines
 from tidewatch.llm.mixing import OP3_SQL, op3_mixing
 from tidewatch.llm.quality import op9_quality
 from tidewatch.llm.simhash import op8_simhash
 
 QUERIES = {
     "op3_mixing": op3_mixing,
+    "op4_lines": op4_lines,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
 }
 
 ORACLES: dict[str, str] = {
     "op3_mixing": OP3_SQL,
+    "op4_lines": OP4_SQL,
 }
