@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tidewatch.llm.lines import OP4_SQL, op4_lines
 from tidewatch.llm.mixing import OP3_SQL, op3_mixing
 from tidewatch.llm.quality import op9_quality
+from tidewatch.llm.sentencepiece import op1_sentencepiece
 from tidewatch.llm.simhash import op8_simhash
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
+    "op1_sentencepiece": op1_sentencepiece,
     "op3_mixing": op3_mixing,
     "op4_lines": op4_lines,
     "op8_simhash": op8_simhash,
@@ -18,3 +22,5 @@ ORACLES: dict[str, str] = {
     "op3_mixing": OP3_SQL,
     "op4_lines": OP4_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
