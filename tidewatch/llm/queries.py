@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from tidewatch.llm.hosts import OP10_SQL, op10_hosts
 from tidewatch.llm.lines import OP4_SQL, op4_lines
 from tidewatch.llm.mixing import OP3_SQL, op3_mixing
 from tidewatch.llm.quality import op9_quality
@@ -16,11 +17,13 @@ QUERIES = {
     "op4_lines": op4_lines,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
+    "op10_hosts": op10_hosts,
 }
 
 ORACLES: dict[str, str] = {
     "op3_mixing": OP3_SQL,
     "op4_lines": OP4_SQL,
+    "op10_hosts": OP10_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
