@@ -9,12 +9,14 @@ from tidewatch.llm.mixing import OP3_SQL, op3_mixing
 from tidewatch.llm.quality import op9_quality
 from tidewatch.llm.sentencepiece import op1_sentencepiece
 from tidewatch.llm.simhash import op8_simhash
+from tidewatch.llm.urls import OP5_SQL, op5_urls
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_sentencepiece": op1_sentencepiece,
     "op3_mixing": op3_mixing,
     "op4_lines": op4_lines,
+    "op5_urls": op5_urls,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
     "op10_hosts": op10_hosts,
@@ -23,6 +25,7 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op3_mixing": OP3_SQL,
     "op4_lines": OP4_SQL,
+    "op5_urls": OP5_SQL,
     "op10_hosts": OP10_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
