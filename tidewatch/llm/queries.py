@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from tidewatch.llm.bitsliced import OP6_SQL, op6_bitsliced
 from tidewatch.llm.hosts import OP10_SQL, op10_hosts
 from tidewatch.llm.lines import OP4_SQL, op4_lines
 from tidewatch.llm.mixing import OP3_SQL, op3_mixing
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_lines": op4_lines,
     "op5_urls": op5_urls,
+    "op6_bitsliced": op6_bitsliced,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
     "op10_hosts": op10_hosts,
@@ -26,6 +28,7 @@ ORACLES: dict[str, str] = {
     "op3_mixing": OP3_SQL,
     "op4_lines": OP4_SQL,
     "op5_urls": OP5_SQL,
+    "op6_bitsliced": OP6_SQL,
     "op10_hosts": OP10_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
