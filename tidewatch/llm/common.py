@@ -120,3 +120,14 @@ def word_hashes(
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=sums[1:])
     return mixed((sums[ends] - sums[begins]) * inverses[begins])
+
+
+def byte_slices(batch, column: str = "text", most: int = 1 << 21):
+    """Slices of an Arrow batch with about ``most`` bytes of text each (a longer text alone)."""
+    _, bounds = text_buffer(batch[column])
+    begin = 0
+    while begin < batch.num_rows:
+        end = int(np.searchsorted(bounds, bounds[begin] + most, "right")) - 1
+        end = min(max(end, begin + 1), batch.num_rows)
+        yield batch.slice(begin, end - begin)
+        begin = end
