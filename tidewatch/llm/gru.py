@@ -97,7 +97,7 @@ class GRU:
         return out.reshape(inputs.shape), h
 
     def gradient(self, vector, inputs, classes, places, h):
-        """Gradient of the mean loss over a window, by truncated backpropagation; last state."""
+        """Gradient of a window's loss over its cells, by truncated backpropagation; last state."""
         p, grad = self.views(vector), np.zeros_like(vector)
         d, kept = self.views(grad), []
         states, last = self._states(p, inputs, h, kept)
@@ -105,7 +105,7 @@ class GRU:
         rows = np.flatnonzero(classes >= 0)
         if not len(rows):
             return grad, last
-        scale = np.float32(1 / len(rows))
+        scale = np.float32(1 / inputs.size)  # a window that is mostly padding moves little
         dlogits = np.zeros((len(flat), len(self.members)), np.float32)
         dlogits[rows] = np.exp(self._log_softmax(flat[rows] @ p["wc"] + p["bc"]))
         dlogits[rows, classes[rows]] -= 1
@@ -168,5 +168,6 @@ class Adam:
         self.t += 1
         self.m += 0.1 * (grad - self.m)
         self.v += 0.01 * (grad * grad - self.v)
-        rate = self.rate * np.sqrt(1 - 0.99**self.t) / (1 - 0.9**self.t)
+        rate = self.rate * min(1.0, self.t / 30)  # a slow start
+        rate *= np.sqrt(1 - 0.99**self.t) / (1 - 0.9**self.t)
         vector -= np.float32(rate) * self.m / (np.sqrt(self.v) + np.float32(1e-6))

@@ -68,8 +68,9 @@ class Options:
     hidden: int = 16
     share: int = 16  # one in so many training documents is learned from
     worker_tokens: int = 1_000_000
-    rounds: int = 3
+    rounds: int = 2
     rate: float = 0.01
+    steps: int = 300  # that a worker takes in a round at least, going over its texts again
     window: int = 32  # of backpropagation
     lanes: int = 256  # texts scored side by side
 
@@ -327,17 +328,20 @@ def train_network(train: DataFrame, kinds: Kinds, lexicon: Lexicon, options: Opt
             inputs, classes, within = (
                 group[x].combine_chunks().flatten().to_numpy().astype(np.int64) for x in "icm"
             )
-            n_lanes = int(min(64, len(lengths)))
+            # so few lanes that the longest text does not run on beside empty ones
+            n_lanes = int(np.clip(lengths.sum() // max(lengths.max(), options.window), 1, 64))
             row, lane, height = laid_out(lengths, n_lanes)
             grid = np.zeros((3, height, n_lanes), np.int64)
             grid[0], grid[1] = lexicon.short + lexicon.n_kinds, -1
             for k, x in enumerate((lexicon.before(inputs, lengths), classes, within)):
                 grid[k][row, lane] = x
-            adam, h = Adam(network.n, options.rate), np.zeros((n_lanes, options.hidden), np.float32)
-            for at in range(0, height, options.window):
-                grad, h = network.gradient(vector, *grid[:, at : at + options.window], h)
-                norm = float(np.sqrt((grad * grad).sum()))
-                adam.step(vector, grad * np.float32(min(1.0, 1.0 / max(norm, 1e-9))))
+            adam = Adam(network.n, options.rate)
+            while adam.t < options.steps:
+                h = np.zeros((n_lanes, options.hidden), np.float32)
+                for at in range(0, height, options.window):
+                    grad, h = network.gradient(vector, *grid[:, at : at + options.window], h)
+                    norm = float(np.sqrt((grad * grad).sum()))
+                    adam.step(vector, grad * np.float32(min(1.0, 1.0 / max(norm, 1e-9))))
             return pa.table({"w": [vector.tobytes()], "n": [int(lengths.sum())]})
 
         return run
