@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import corpus_pipeline
 from tidewatch.llm.bitsliced import OP6_SQL, op6_bitsliced
+from tidewatch.llm.chains import op2_chains
 from tidewatch.llm.hosts import OP10_SQL, op10_hosts
 from tidewatch.llm.lines import OP4_SQL, op4_lines
+from tidewatch.llm.lm import op7_lm
 from tidewatch.llm.mixing import OP3_SQL, op3_mixing
 from tidewatch.llm.quality import op9_quality
 from tidewatch.llm.sentencepiece import op1_sentencepiece
@@ -15,10 +17,12 @@ from tidewatch.llm.urls import OP5_SQL, op5_urls
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_chains": op2_chains,
     "op3_mixing": op3_mixing,
     "op4_lines": op4_lines,
     "op5_urls": op5_urls,
     "op6_bitsliced": op6_bitsliced,
+    "op7_lm": op7_lm,
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
     "op10_hosts": op10_hosts,
