@@ -108,7 +108,7 @@ class Kinds:
     def pairs(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
         small = _LOWER[data].astype(np.int32)
         before = np.empty_like(small)
-        before[1:] = small[:-1]
+        before[:1], before[1:] = 32, small[:-1]
         before[begins] = 32
         return before * 256 + small
 
