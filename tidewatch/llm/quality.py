@@ -1,6 +1,6 @@
 """Quality classifier (operator 9): a sparse ensemble of rules over text statistics.
 
-1. Statistics of every text are Spark columns (`statistics`).
+1. Statistics of every text are Spark columns (`with_statistics`).
 2. Shallow boosted trees are grown on a bounded sample of labelled rows; every path
    from a root to a node is a conjunctive rule (`grow_rules`).
 3. A lasso logistic regression weighs the rules; most get no weight (`lasso`).
@@ -25,38 +25,74 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import SPACE, SPACES, fold, table, whole, words_of
+from tidewatch.llm.common import SPACES, fold, table, whole, words_of
 
 SYMBOLS = "#*$%&|<>{}[]~^=\\@+"
 DIGITS = "0123456789"
-
-
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
-def statistics(text: Column) -> dict[str, Column]:
-    """The statistics that rules may test, each a number."""
-    n = F.length(text)
-    words = words_of(text)
-    n_words = F.size(words)
-    solid = F.length(_without(text, SPACES))
-    lines = F.filter(F.split(text, "\n"), lambda line: line != "")
-    n_lines = F.size(lines)
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+COUNTED = {
+    "spaces": SPACES,
+    "symbols": SYMBOLS,
+    "digits": DIGITS,
+    "capitals": LETTERS.upper(),
+    "stops": ".",
+    "commas": ",",
+    "shouts": "!?",
+}
+_OWN = ("__row", "__id", "__y")
+
+
+NAMES = (
+    "words word_length distinct_words symbols digits capitals stops commas shouts line_words "
+    "distinct_lines"
+).split()
+
+
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns so that each is made once per row, however often it is used later.
+
+    A generator in the plan keeps the optimizer from copying what it makes upwards.
+    """
+    made = F.explode(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))).alias("__made")
+    return df.select("*", made).select("*", "__made.*").drop("__made")
+
+
+def with_statistics(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with the statistics that rules may test, each a number, in place of its text."""
+    t = F.col(text)
+    # most characters are small letters: counts of others look at what is left without them
+    df = _once(
+        df.where(t.isNotNull()),
+        __n=F.length(t),
+        __rest=F.translate(t, LETTERS, ""),
+        __words=words_of(t),
+        __lines=F.filter(F.split(t, "\n"), lambda line: line != ""),
+    ).drop(text)
+    left = lambda characters: F.length(F.translate("__rest", characters, ""))
+    df = _once(
+        df,
+        __all=F.length("__rest"),
+        **{f"__{name}": left(characters) for name, characters in COUNTED.items()},
+        __n_words=F.size("__words"),
+        __n_distinct=F.size(F.array_distinct("__words")),
+        __n_lines=F.size("__lines"),
+        __distinct_lines=F.size(F.array_distinct("__lines")),
+    )
+    count = lambda name: F.col("__all") - F.col(f"__{name}")
+    solid = F.col("__n") - count("spaces")
+    words, lines = F.col("__n_words"), F.col("__n_lines")
     share = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
-    return {
-        "words": n_words.cast("double"),
-        "word_length": share(solid, n_words),
-        "distinct_words": share(F.size(F.array_distinct(words)), n_words),
-        "symbols": share(n - F.length(_without(text, SYMBOLS)), solid),
-        "digits": share(n - F.length(_without(text, DIGITS)), solid),
-        "capitals": share(n - F.length(_without(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")), solid),
-        "stops": share(n - F.length(_without(text, ".")), n_words),
-        "commas": share(n - F.length(_without(text, ",")), n_words),
-        "shouts": share(n - F.length(_without(text, "!?")), n_words),
-        "line_words": share(n_words, n_lines),
-        "distinct_lines": share(F.size(F.array_distinct(lines)), n_lines),
+    made = {
+        "words": words.cast("double"),
+        "word_length": share(solid, words),
+        "distinct_words": share(F.col("__n_distinct"), words),
+        **{name: share(count(name), solid) for name in ("symbols", "digits", "capitals")},
+        **{name: share(count(name), words) for name in ("stops", "commas", "shouts")},
+        "line_words": share(words, lines),
+        "distinct_lines": share(F.col("__distinct_lines"), lines),
     }
+    kept = [c for c in df.columns if not c.startswith("__") or c in _OWN]
+    return df.select(*kept, *(made[n].alias(n) for n in NAMES))
 
 
 @dataclass(frozen=True)
@@ -150,7 +186,7 @@ class RuleModel:
     rules: tuple[tuple[Rule, float], ...]
 
     def margin(self) -> Column:
-        """Over the columns that `statistics` names."""
+        """Over the columns of `NAMES`."""
         out = F.lit(self.intercept)
         for rule, weight in self.rules:
             condition = rule[0].column()
@@ -161,11 +197,9 @@ class RuleModel:
 
     def score(self, docs: DataFrame, text_col: str = "text", out: str = "score") -> DataFrame:
         """``docs`` with the probability that a text is of the better kind, 0 to 1."""
-        stats = F.struct(*(c.alias(n) for n, c in statistics(F.col("__t")).items()))
         kept = [F.col(f"`{c}`") for c in docs.columns if c != out]
         staged = docs.select(F.struct(*kept).alias("__row"), whole(F.col(f"`{text_col}`")).alias("__t"))
-        staged = staged.select("__row", F.explode(F.array(stats)).alias("__s"))
-        return staged.select("__row", "__s.*").select(
+        return with_statistics(staged, "__t").select(
             "__row.*", (1 / (1 + F.exp(-self.margin()))).alias(out)
         )
 
@@ -181,16 +215,10 @@ def sample_of(
     order = [F.xxhash64(F.col("__id").cast("string")), F.col("__id"), F.col("__y")]
     known = known.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y"))
     known = known.distinct().orderBy(*order).limit(max_rows)  # so small that it may be broadcast
-    rows = (
-        docs.select(F.col(id_col).alias("__id"), whole(text_col).alias("__t"))
-        .join(F.broadcast(known), "__id")
-        .select("__id", "__y", *(c.alias(n) for n, c in statistics(F.col("__t")).items()))
-        .orderBy(*order)
-        .limit(max_rows)
-        .toPandas()
-    )
-    names = [c for c in rows.columns if c not in ("__id", "__y")]
-    return {n: rows[n].to_numpy(float) for n in names}, rows["__y"].to_numpy(float)
+    texts = docs.select(F.col(id_col).alias("__id"), whole(text_col).alias("__t"))
+    rows = with_statistics(texts.join(F.broadcast(known), "__id"), "__t")
+    rows = rows.orderBy(*order, *NAMES).limit(max_rows).toPandas()
+    return {n: rows[n].to_numpy(float) for n in NAMES}, rows["__y"].to_numpy(float)
 
 
 def fit(
