@@ -8,8 +8,8 @@ judged by two character models, one of accepted and one of rejected URLs:
    character: the longest context seen decides, mixed with the shorter ones by
    Witten-Bell weights, so that no character has probability zero.
 3. A URL's score is the mean over its characters of the difference of log-likelihoods.
-4. The threshold is the score that separates the held-out examples best, both classes
-   counting alike (0 if a class is missing there).
+4. The threshold separates the held-out examples best, both classes counting alike, in
+   the middle between the scores on its two sides (0 if a class is missing there).
 
 Log-likelihood differences are kept as whole millionths and thresholds as hundredths,
 so sums are exact and reruns agree.
@@ -140,12 +140,12 @@ def _threshold(held_out: DataFrame) -> int:
     all_yes, all_no = sum(r.yes for r in rows), sum(r.no for r in rows)
     if not all_yes or not all_no:
         return 0
-    best, at, yes, no = -1, 0, 0, 0
+    best, at, yes, no, before = -1, 0, 0, 0, rows[0].bin
     for r in rows:  # the accepted from this bin on, and the rejected below it
         right = (all_yes - yes) * all_no + no * all_yes
         if right > best:
-            best, at = right, r.bin
-        yes, no = yes + r.yes, no + r.no
+            best, at = right, (before + r.bin + 1) // 2  # in the middle of the gap
+        yes, no, before = yes + r.yes, no + r.no, r.bin
     return at
 
 
@@ -255,13 +255,13 @@ bins AS (
     SELECT bin, count(*) FILTER (WHERE verdict = 'allow') AS yes, count(*) FILTER (WHERE verdict = 'block') AS no
     FROM scored WHERE held_out AND verdict IS NOT NULL GROUP BY bin),
 cuts AS (
-    SELECT bin,
+    SELECT bin, CAST(floor((coalesce(lag(bin) OVER (ORDER BY bin), bin) + bin + 1) / 2) AS BIGINT) AS middle,
            (sum(yes) OVER () - coalesce(sum(yes) OVER before, 0)) * sum(no) OVER ()
            + coalesce(sum(no) OVER before, 0) * sum(yes) OVER () AS good,
            sum(yes) OVER () AS all_yes, sum(no) OVER () AS all_no
     FROM bins WINDOW before AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 threshold AS (
-    SELECT coalesce((SELECT bin FROM cuts WHERE all_yes > 0 AND all_no > 0 ORDER BY good DESC, bin LIMIT 1), 0) AS at_bin),
+    SELECT coalesce((SELECT middle FROM cuts WHERE all_yes > 0 AND all_no > 0 ORDER BY good DESC, bin LIMIT 1), 0) AS at_bin),
 judged AS (
     SELECT url, CASE WHEN bin >= (SELECT at_bin FROM threshold)
                        OR (SELECT count(DISTINCT verdict) FROM counts) < 2 THEN 'allow' ELSE 'block' END AS verdict
