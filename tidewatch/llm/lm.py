@@ -378,15 +378,19 @@ def _score_batch(parts, network: GRU, vector, lexicon: Lexicon, options: Options
     for at in range(0, height, 64):
         logs[at : at + 64], h = network.logs(vector, *grid[:, at : at + 64], h)
     doc = np.repeat(np.arange(len(lengths)), lengths)
-    score = np.bincount(doc, logs[row, lane].astype(np.float64), len(lengths)) / np.log(10)
+
+    def per_text(which, values):
+        return np.bincount(doc[which], values, len(lengths)).astype(np.float64)
+
+    score = per_text(slice(None), logs[row, lane].astype(np.float64)) / np.log(10)
     head = counts >= 0
     known = np.log10(np.where(head, counts, 0) + 0.5)
     rest = classes >= lexicon.first_rest
     # within the class of a kind's other words: a word's own count, over the class
-    score -= np.bincount(doc[rest], np.log10(lexicon.rest_total)[classes[rest] - lexicon.first_rest], len(lengths))
+    score -= per_text(rest, np.log10(lexicon.rest_total)[classes[rest] - lexicon.first_rest])
     own = rest & head
-    score += np.bincount(doc[own], known[own], len(lengths))
-    base = np.bincount(doc[head], known[head], len(lengths))
+    score += per_text(own, known[own])
+    base = per_text(head, known[head])
     n_known = np.bincount(doc[head & (counts > 0)], minlength=len(lengths))
     rare = tokens[~head].view(np.int64)
     n_rare = np.bincount(doc[~head], minlength=len(lengths))

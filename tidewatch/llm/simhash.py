@@ -200,8 +200,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     Of rows that repeat such an id one stays, the least by all its columns.
     """
     found = near_duplicates(docs, id_col, text_col, **options)
-    stay = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
-    kept = docs.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("id")), "left_semi")
+    stay = found.where(F.col("id").eqNullSafe(F.col("component_id")))
+    stay = stay.select(F.col("id").alias("__stays")).distinct()
+    kept = docs.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("__stays")), "left_semi")
     one = F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("row")
     return kept.groupBy(F.col(id_col).alias("__id")).agg(one).select("row.*")
 
