@@ -57,8 +57,11 @@ def test_mix_meets_targets(spark, documents):
 def test_targets_stop_and_are_reshared(spark):
     sizes = spark.createDataFrame([("b", 100), ("a", 10), (None, 100)], "source string, size long")
     found = {r.source: r.target for r in mixing.targets(sizes).collect()}
-    # a: weight 3, stops at 20; b: 1 and null: 2 share the other 295, null stops at 200
-    assert found == {"a": 20.0, "b": 115.0, None: 200.0}
+    # a (weight 3) stops at 20; b (1) and null (2) share the other 295
+    assert found == {"a": 20.0, "b": 295 / 3, None: 2 * (295 / 3)}
+    sizes = spark.createDataFrame([("a", 100), ("b", 10), ("c", 10)], "source string, size long")
+    found = {r.source: r.target for r in mixing.targets(sizes).collect()}
+    assert found == {"a": 140.0, "b": 20.0, "c": 20.0}
 
 
 def test_mix_repeats_rows_with_all_columns(documents):
