@@ -18,7 +18,7 @@ support, a template's fate) is one row, written before the join, so the join's o
 side can be split however many lines the node has.
 
 Defined results: null and empty texts are returned as they are.  Blank lines and the
-order of the rest stay.  Rows that repeat an id count as one document, and each is
+order of the rest stay.  Lines are told apart by 64-bit hashes.  Rows that repeat an id count as one document, and each is
 rewritten by its own text; rows with a null id likewise form one document.  A
 document all of whose words were in dropped lines has an empty text (`dedup_lines`
 keeps the row; `drop_emptied` removes it).  All columns are kept, whatever their names.
@@ -35,27 +35,33 @@ from tidewatch.settings import settle
 DEPTH, MIN_DOCS, MIN_TOKENS, CONSTANT = 3, 3, 6, 0.8
 FIELD = "<*>"
 #: A token that holds a digit.
-_NUMBERED = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
+_NUMBERED = r"[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+#: What a line has if its tokens need masking, or more than one space stands between them.
+_UNEVEN = r"[0-9\x09-\x0D]|  "
 
 
 def _masked(line: Column) -> Column:
     """The line's tokens, those with a digit masked, one space between them."""
-    masked = F.regexp_replace(line, _NUMBERED, FIELD)
-    return F.trim(F.regexp_replace(masked, SPACE, " "))
+    masked = F.regexp_replace(F.regexp_replace(line, _NUMBERED, FIELD), SPACE, " ")
+    return F.trim(F.when(line.rlike(_UNEVEN), masked).otherwise(line))
+
+
+def _n_tokens(line: Column) -> Column:
+    """Of a masked line that is not empty."""
+    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_tokens: int) -> DataFrame:
     """``(id, line, node)`` of every line with enough tokens; the line is masked."""
     lines = docs.select(
         F.col(id_col).alias("id"), F.explode(F.split(whole(text_col), "\n")).alias("line")
-    ).select("id", _masked(F.col("line")).alias("line"))
-    tokens = F.length("line") - F.length(F.translate("line", " ", "")) + 1
-    leading = F.substring_index("line", " ", depth)
+    )
+    lines = lines.select("id", F.explode(F.array(_masked(F.col("line")))).alias("line"))
     return (
         lines.where(F.col("line") != "")
-        .withColumn("n", tokens)
+        .withColumn("n", _n_tokens(F.col("line")))
         .where(F.col("n") >= min_tokens)
-        .select("id", "line", F.xxhash64("n", leading).alias("node"))
+        .select("id", "line", F.xxhash64("n", F.substring_index("line", " ", depth)).alias("node"))
     )
 
 
@@ -63,38 +69,45 @@ def recurring(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
     min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, constant: float = CONSTANT,
 ) -> DataFrame:
-    """``(id, line)``: the masked lines that each document loses."""
+    """``(id, line_id)``: hashes of the masked lines that each document loses."""
     lines = _lines(docs, id_col, text_col, depth, min_tokens)
     nodes = settle(lines.groupBy("node").count().where(F.col("count") >= min_docs), "nodes")
-    busy = settle(lines.join(nodes.select("node"), "node").distinct(), "lines")
+    busy = lines.join(nodes.select("node"), "node").withColumn("line_id", F.xxhash64("line"))
+    busy = settle(busy.groupBy("id", "node", "line_id").agg(F.min("line").alias("line")), "lines")
 
-    distinct = settle(busy.groupBy("node", "line").agg(F.count(F.lit(1)).alias("docs")), "distinct")
+    distinct = busy.groupBy("node", "line_id").agg(
+        F.count(F.lit(1)).alias("docs"), F.min("line").alias("line")
+    )
+    distinct = settle(distinct, "distinct")
     tokens = distinct.select(
-        "node", "line", "docs", F.posexplode(F.split("line", " ")).alias("at", "token")
+        "node", "line_id", "docs", F.posexplode(F.split("line", " ")).alias("at", "token")
     )
     support = tokens.groupBy("node", "at", "token").agg(F.sum("docs").alias("docs"))
     support = settle(support.where((F.col("docs") >= min_docs) & (F.col("token") != FIELD)), "support")
-    steady = tokens.select("node", "line", "at", "token").join(
+    steady = tokens.select("node", "line_id", "at", "token").join(
         support.select("node", "at", "token"), ["node", "at", "token"]
     )
-    constants = steady.groupBy("node", "line").agg(
+    constants = steady.groupBy("node", "line_id").agg(
         F.array_sort(F.collect_list(F.struct("at", "token"))).alias("fixed")
     )
-    n = F.length("line") - F.length(F.translate("line", " ", "")) + 1
+    constants = constants.join(
+        distinct.select("node", "line_id", _n_tokens(F.col("line")).alias("n")), ["node", "line_id"]
+    )
     templates = settle(
-        constants.where(F.size("fixed") >= constant * n).select(
-            "line", F.xxhash64("node", n, "fixed").alias("template")
+        constants.where(F.size("fixed") >= constant * F.col("n")).select(
+            "node", "line_id", F.xxhash64("node", "n", "fixed").alias("template")
         ),
         "templates",
     )
-    named = settle(busy.select("id", "line").join(templates, "line"), "named")
+    named = settle(busy.select("id", "node", "line_id").join(templates, ["node", "line_id"]), "named")
     fate = (
         named.select("template", "id").distinct().groupBy("template")
         .agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first"))
         .where(F.col("docs") >= min_docs)
     )
     fate = settle(fate.select("template", "first"), "recurring")
-    return named.join(fate, "template").where(~F.col("id").eqNullSafe(F.col("first"))).select("id", "line")
+    lost = named.join(fate, "template").where(~F.col("id").eqNullSafe(F.col("first")))
+    return lost.select("id", "line_id")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -103,7 +116,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     These two names replace columns of the same name.
     """
     lost = recurring(docs, id_col, text_col, **options)
-    lost = lost.groupBy("id").agg(F.collect_set("line").alias("lost"))
+    lost = lost.groupBy("id").agg(F.collect_set("line_id").alias("lost"))
     kept = [c for c in docs.columns if c not in ("lines", "lines_dropped")]
     row = F.struct(*(F.col(f"`{c}`") for c in kept)).alias("__row")
     joined = docs.select(row, F.col(id_col).alias("__id")).join(
@@ -111,7 +124,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     text = F.col(f"__row.`{text_col}`")
     lines = F.split(whole(text), "\n")
-    left = F.filter(lines, lambda line: ~F.array_contains(F.col("lost"), _masked(line)))
+    left = F.filter(lines, lambda line: ~F.array_contains(F.col("lost"), F.xxhash64(_masked(line))))
     staged = joined.select(
         "__row", F.size(lines).alias("lines"), F.when(F.col("lost").isNotNull(), left).alias("left")
     )
