@@ -381,8 +381,7 @@ ORACLES: dict[str, str] = {
         SELECT trim(split_part(error_reason, ';', 1)) AS reason, count(*) AS count
         FROM letters GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""),
     "letter_listing": _sql(_TAGGED + _LETTERS, """
-        SELECT processing_timestamp, error_reason, original_message FROM letters
-        ORDER BY 1 DESC, 2, 3 LIMIT 100"""),
+        SELECT processing_timestamp, error_reason, original_message FROM letters"""),
     "table_row_counts": _sql(_RAW + _AGGREGATES + _LETTERS, """
         SELECT 'raw events' AS "table", count(*) AS rows FROM raw
         UNION ALL SELECT 'aggregates', count(*) FROM aggregates
@@ -477,21 +476,25 @@ ORACLES: dict[str, str] = {
         FROM raised r JOIN sent s ON r.title = s.title AND r."at" = s."at"
         QUALIFY row_number() OVER (PARTITION BY r.title, r."at" ORDER BY r.severity, r.message) = 1""",
     "stream_raw_events": _sql(_RAW, f"SELECT {_RAW_COLUMNS} FROM raw"),
-    "stream_dedup": _sql(_RAW, """
-        SELECT symbol, count(*) AS events, count(DISTINCT event_id) AS event_ids
-        FROM raw GROUP BY 1"""),
+    "stream_dedup": _sql(_RAW, "SELECT event_id, symbol FROM raw"),
     "stream_agg_append": _sql(_RAW + _AGGREGATES, """
         SELECT * EXCLUDE (processing_time) FROM aggregates"""),
     "stream_dlq": _sql(_TAGGED + _LETTERS, """
         SELECT original_message, error_reason, pipeline_name FROM letters"""),
     "metrics_progress": _sql(_WIRE, """
-        SELECT 'raw_events' AS query, count(*) AS input_rows FROM wire"""),
+        SELECT 'dead_letters' AS query, count(*) AS input_rows FROM wire"""),
     "staged_tables": _sql(_RAW + _AGGREGATES + _LETTERS, """
         SELECT 'raw events' AS "table", count(*) AS rows FROM raw
         UNION ALL SELECT 'aggregates', count(*) FROM aggregates
         UNION ALL SELECT 'dead letter', count(*) FROM letters
         UNION ALL SELECT 'events in windows', CAST(sum(event_count) AS BIGINT) FROM aggregates"""),
-    "stream_dlq_bus": _sql(_TAGGED, """
-        SELECT error_reason, count(*) AS letters FROM tagged
-        WHERE error_reason IS NOT NULL AND fault <> 50 GROUP BY 1"""),
+    "stream_dlq_bus": _sql(_TAGGED + _LETTERS, """
+        SELECT original_message, error_reason FROM letters"""),
+}
+ORACLES |= {
+    "stream_restart": ORACLES["stream_raw_events"],
+    "stream_foreach_batch": ORACLES["stream_raw_events"],
+    "overview_page": ORACLES["top_symbols_volume"],
+    "quality_page": ORACLES["letter_listing"],
+    "report_files": ORACLES["dq_scorecard"],
 }

@@ -27,7 +27,7 @@ from tidewatch.operators.windows import aggregate_windows
 from tidewatch.plans import alerts, quality, views
 from tidewatch.plans.batch import EventTables, event_tables
 from tidewatch.settings import StreamOptions, new_folder, settle, use_utc
-from tidewatch.sinks.tables import write_tables
+from tidewatch.sinks.tables import write_report, write_tables
 from tidewatch.sources.records import as_records, read_table, stream_records
 from tidewatch.streaming.listener import ProgressListener
 from tidewatch.streaming.run import finish, start_stream
@@ -417,6 +417,18 @@ def symbol_star_join(spark, sf_dir):
     )
 
 
+@query
+def overview_page(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return views.overview_page(t.raw_events, t.aggregates)["top_symbols"]
+
+
+@query
+def quality_page(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return plain(views.quality_page(t.raw_events, t.letters)["dlq_listing"])
+
+
 @query
 def standing_views(spark, sf_dir):
     t = tables(spark, sf_dir)
@@ -447,6 +459,14 @@ def dq_scorecard(spark, sf_dir):
     return quality.scorecard(judged_records(spark, sf_dir))
 
 
+@query
+def report_files(spark, sf_dir):
+    card = quality.scorecard(judged_records(spark, sf_dir))
+    folder = new_folder(spark, "reports")
+    write_report(card, folder)
+    return spark.read.schema(card.schema).json(folder)
+
+
 @query
 def dq_top_errors(spark, sf_dir):
     return quality.top_reasons(judged_records(spark, sf_dir))
@@ -511,13 +531,41 @@ def alert_cooldown(spark, sf_dir):
 # --- the same job as a stream ----------------------------------------------------------
 
 
-def _land(spark: SparkSession, sf_dir: str, last_record: bool) -> str:
+def _pieces(spark: SparkSession, sf_dir: str, repeats: bool) -> list[DataFrame]:
+    """The feed in three files by time.
+
+    With ``repeats`` the last one also brings some valid events of the first
+    again, and a new one of that time: far behind the watermark, none may count.
+    """
+    landed = settle(records(spark, sf_dir).select(*KAFKA_SCHEMA.fieldNames()), "landed")
+    first, last = landed.agg(F.min("timestamp"), F.max("timestamp")).first()
+    cuts = [first + (last - first) * k / 3 for k in (1, 2)]
+    third = F.when(F.col("timestamp") < F.lit(cuts[0]), 0).when(F.col("timestamp") < F.lit(cuts[1]), 1)
+    cut = [landed.filter(third.isNull() if k == 2 else third == k) for k in range(3)]
+    if repeats:
+        again = cut[0].filter("floor(offset / 2) % 100 = 5")
+        late = again.orderBy("offset").limit(1).withColumn(
+            "value",
+            F.regexp_replace(F.col("value").cast("string"), '"event_id":"', '"event_id":"late-')
+            .cast("binary"),
+        )
+        cut[2] = cut[2].unionByName(again).unionByName(late)
+    return cut
+
+
+def _append(piece: DataFrame, feed: str) -> None:
+    piece.coalesce(1).write.mode("append").parquet(feed)
+
+
+def _land(spark: SparkSession, sf_dir: str, last_record: bool, repeats: bool = True) -> str:
     """Land the feed as files, if wanted with a last record far after all others.
 
     That record moves the watermark past every window.
     """
     feed = new_folder(spark, "feed")
     landed = records(spark, sf_dir)
+    for piece in _pieces(spark, sf_dir, repeats):
+        _append(piece, feed)
     if last_record:
         after = F.to_json(
             F.struct(
@@ -528,23 +576,38 @@ def _land(spark: SparkSession, sf_dir: str, last_record: bool) -> str:
             )
         )
         newest = landed.agg(F.max("timestamp").alias("last")).select(after.alias("value"))
-        landed = landed.unionByName(as_records(newest))
-    landed.select(*KAFKA_SCHEMA.fieldNames()).write.parquet(feed)
+        _append(as_records(newest).select(*KAFKA_SCHEMA.fieldNames()), feed)
     return feed
 
 
 def _stream_options(spark: SparkSession, **options) -> StreamOptions:
-    """Take in all there is, with a state partition per core."""
+    """Take in all there is, a file per batch, with a state partition per core."""
     cores = spark.sparkContext.defaultParallelism
-    return StreamOptions(available_now=True, shuffle_partitions=cores, **options)
+    return StreamOptions(
+        available_now=True, max_files_per_trigger=1, shuffle_partitions=cores, **options
+    )
 
 
 def _streamed(spark: SparkSession, sf_dir: str, output: str, **options) -> str:
     """Run one output of the job as a stream over the landed feed; where it wrote to."""
     base = new_folder(spark, "out")
-    stream = stream_records(spark, _land(spark, sf_dir, output == "aggregates"))
     opts = _stream_options(spark, **options)
-    finish(start_stream(stream, base, opts, outputs=(output,)))
+    feed = _land(spark, sf_dir, output == "aggregates", output in ("raw_events", "aggregates"))
+    finish(start_stream(stream_records(spark, feed, options=opts), base, opts, outputs=(output,)))
+    return base
+
+
+def _restarted(spark: SparkSession, sf_dir: str, sink: str) -> str:
+    """Run raw events again after each landed file, on the default checkpoints."""
+    base, feed, opts = new_folder(spark, "out"), new_folder(spark, "feed"), _stream_options(spark)
+    for piece in _pieces(spark, sf_dir, True):
+        _append(piece, feed)
+        finish(
+            start_stream(
+                stream_records(spark, feed, options=opts), base, opts, outputs=("raw_events",),
+                sink=sink,
+            )
+        )
     return base
 
 
@@ -557,10 +620,19 @@ def stream_raw_events(spark, sf_dir):
 @query
 def stream_dedup(spark, sf_dir):
     base = _streamed(spark, sf_dir, "raw_events", watermark="10 minutes")
-    raw = read_table(spark, base, "events_raw")
-    return raw.groupBy("symbol").agg(
-        F.count(F.lit(1)).alias("events"), F.count_distinct("event_id").alias("event_ids")
-    )
+    return read_table(spark, base, "events_raw").select("event_id", "symbol")
+
+
+@query
+def stream_restart(spark, sf_dir):
+    raw = read_table(spark, _restarted(spark, sf_dir, "parquet"), "events_raw")
+    return plain(raw.drop("processing_time"))
+
+
+@query
+def stream_foreach_batch(spark, sf_dir):
+    raw = read_table(spark, _restarted(spark, sf_dir, "table"), "events_raw")
+    return plain(raw.drop("processing_time"))
 
 
 @query
@@ -578,14 +650,18 @@ def stream_dlq(spark, sf_dir):
 @query
 def stream_dlq_bus(spark, sf_dir):
     base = _streamed(spark, sf_dir, "dead_letter_bus")
-    judged = read_letters(spark.read.text(f"{base}/dead_letter_values"))
-    return judged.groupBy("error_reason").agg(F.count(F.lit(1)).alias("letters"))
+    letter = lambda field: F.get_json_object("value", f"$.{field}").alias(field)
+    return spark.read.text(f"{base}/dead_letter_values").select(
+        letter("original_message"), letter("error_reason")
+    )
 
 
 @query
 def staged_tables(spark, sf_dir):
     base = new_folder(spark, "out")
-    run_staged(stream_records(spark, _land(spark, sf_dir, True)), base, _stream_options(spark))
+    opts = _stream_options(spark)
+    feed = _land(spark, sf_dir, True, repeats=False)
+    run_staged(stream_records(spark, feed, options=opts), base, opts)
     windows = read_table(spark, base, "events_aggregates_1m")
     raw = read_table(spark, base, "events_raw").filter(F.col("symbol") != "-")
     counts = views.row_counts(
@@ -601,7 +677,7 @@ def metrics_progress(spark, sf_dir):
     listener = ProgressListener()
     spark.streams.addListener(listener)
     try:
-        _streamed(spark, sf_dir, "raw_events")
+        _streamed(spark, sf_dir, "dead_letters")
         listener.wait_for_endings(1)
     finally:
         spark.streams.removeListener(listener)

@@ -15,11 +15,11 @@ SF = "/root/testdata/sf0.001"
 EVENT = {
     "event_id": "1",
     "symbol": "AAPL",
-    "company": "Apple Inc.",
-    "price": 187.42,
-    "volume": 1250000,
-    "change": 1.23,
-    "change_percent": 0.66,
+    "company": "Fruit Co",
+    "price": 64.25,
+    "volume": 8200,
+    "change": -0.5,
+    "change_percent": -0.77,
     "timestamp": "2026-06-25T14:30:00Z",
     "exchange": "NASDAQ",
 }

@@ -7,7 +7,7 @@ from tidewatch.functions.parse import event_json, iso_timestamp, parse_events
 
 def test_parses_with_fixed_schema(bus, event):
     row = parse_events(bus(event())).first()
-    assert (row.symbol, row.price, row.volume) == ("AAPL", 187.42, 1250000)
+    assert (row.symbol, row.price, row.volume) == ("AAPL", 64.25, 8200)
     assert row.event_ts is not None and row.raw_value.startswith("{")
     assert (row.kafka_topic, row.kafka_partition, row.kafka_offset) == ("events", 0, 0)
 
@@ -65,7 +65,7 @@ def test_zone_is_respected(spark):
 def test_date_parts_and_band(bus, event):
     row = enrich_events(parse_events(bus(event()))).first()
     assert (row.event_year, row.event_month, row.event_day, row.event_hour) == (2026, 6, 25, 14)
-    assert str(row.event_date) == "2026-06-25" and row.price_bucket == "100-250"
+    assert str(row.event_date) == "2026-06-25" and row.price_bucket == "50-100"
 
 
 @pytest.mark.parametrize(

@@ -126,7 +126,7 @@ def test_nan_price_ranks_above_the_maximum(bus, event):
 
 
 def test_bounds_are_parameters(bus, event):
-    bounds = RuleBounds(price_max=100.0, exchanges=("LSE",))
+    bounds = RuleBounds(price_max=50.0, exchanges=("LSE",))
     assert tag_events(parse_events(bus(event())), bounds).first()[REASON] == (
         "invalid_price: price > max"
     )

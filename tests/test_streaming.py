@@ -320,6 +320,45 @@ def test_failure_with_the_native_sink(spark, feed, tmp_path):
     assert sorted(ids) == ["a0", "a1", "a2"]
 
 
+@pytest.mark.parametrize("sink", ["parquet", "table"])
+def test_restart_with_default_options_loses_nothing(spark, feed, tmp_path, sink):
+    folder = feed(*[(f"a{i}", i, {}) for i in range(5)])
+    options = StreamOptions(available_now=True)
+    run(spark, folder, tmp_path / "out", options, outputs=("raw_events",), sink=sink)
+    feed(*[(f"b{i}", i, {}) for i in range(7)])
+    run(spark, folder, tmp_path / "out", options, outputs=("raw_events",), sink=sink)
+    assert read_table(spark, str(tmp_path / "out"), "events_raw").count() == 12
+
+
+def test_new_checkpoint_keeps_what_batches_wrote(spark, feed, tmp_path):
+    folder = feed(*[(f"a{i}", i, {}) for i in range(5)])
+    for n in "cd":
+        options = StreamOptions(available_now=True, checkpoints=str(tmp_path / n))
+        run(spark, folder, tmp_path / "out", options, outputs=("raw_events",), sink="table")
+        folder = feed(*[(f"b{i}", i, {}) for i in range(7)])
+        for landed in sorted((tmp_path / "feed").iterdir())[:1]:
+            landed.unlink() if n == "c" else None
+    assert read_table(spark, str(tmp_path / "out"), "events_raw").count() == 12
+
+
+def test_append_into_a_streamed_table_is_refused(spark, feed, bus, event, tmp_path):
+    run(spark, feed(("1", 0, {})), tmp_path / "out", outputs=("raw_events",))
+    raw = event_tables(bus(event(event_id="9"))).raw_events
+    with pytest.raises(ValueError, match="belongs to a stream"):
+        append_table(raw, str(tmp_path / "out"), RAW_EVENTS)
+
+
+@pytest.mark.parametrize("squash", [True, False])
+def test_late_copy_does_not_hide_the_one_on_time(spark, feed, tmp_path, squash):
+    folder = feed(("w1", 3480, {}), ("w2", 3500, {}))
+    feed(("w3", 3600, {}))
+    feed(("X", 600, {}), ("X", 3630, {}))
+    options = StreamOptions(available_now=True, max_files_per_trigger=1, squash_copies=squash)
+    run(spark, folder, tmp_path / "out", options, outputs=("raw_events",))
+    ids = [r.event_id for r in read_table(spark, str(tmp_path / "out"), "events_raw").collect()]
+    assert sorted(ids) == ["X", "w1", "w2", "w3"]
+
+
 def test_wait_and_stop(spark, feed, tmp_path):
     """When one query dies, the others are stopped and the failure is raised."""
     from tidewatch.streaming.run import wait_and_stop

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.alerts import known_severity
 from ..settings import settle
 
 _NEVER = np.iinfo(np.int64).min
@@ -34,6 +35,7 @@ def cooled_down(
     must not be NULL.
     """
     cooldown = int(cooldown_seconds * 1_000_000)
+    alerts = alerts.withColumn("severity", known_severity(F.col("severity")))
     if cooldown <= 0:
         return alerts
     first = Window.partitionBy("title", "at").orderBy("severity", "message")

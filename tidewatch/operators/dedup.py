@@ -23,9 +23,8 @@ def deduplicate_batch(events: DataFrame, key: str = "event_id") -> DataFrame:
     partition, not a task full of copies.
     """
     order = [c for c in _ARRIVAL if c in events.columns]
-    if "kafka_offset" not in order:
-        # No place on the bus tells deliveries apart: let their content decide.
-        order += [c for c in events.columns if c != key and c not in order]
+    # Records without a place on the bus (NULL) are told apart by their content.
+    order += [c for c in events.columns if c != key and c not in order]
     first = Window.partitionBy(key).orderBy(*order)
     ranked = events.withColumn("_rank", F.row_number().over(first))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
@@ -41,8 +40,8 @@ def deduplicate_stream(
 ) -> DataFrame:
     """Set the watermark and keep one delivery within it.
 
-    The one place a stream gets its watermark.  A replay later than the
-    watermark delay is not caught: that is the price of bounded state.
+    Ids are remembered as long as the watermark delay, which bounds the state;
+    a replay that comes later counts as a new event.
     """
     if not options.deduplicate:
         return events.withWatermark("event_ts", options.watermark)
@@ -53,17 +52,21 @@ def deduplicate_stream(
 
 
 def squash_copies(events: DataFrame, key: str = "event_id") -> DataFrame:
-    """Drop repeated keys within each Arrow batch of rows, without a shuffle.
+    """Drop repeated (key, event_ts) within each Arrow batch of rows, without a shuffle.
 
     A stream cannot combine rows before its stateful shuffle, so all copies of
     one id would go to one task; this leaves one per batch of some thousand
-    rows.  Copies in different batches remain for the deduplication proper.
+    rows.  Copies in different batches remain for the deduplication proper, and
+    so do copies with another event time: one of them may be late, the other not.
     """
 
     def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(key).dictionary_encode().indices.fill_null(-1).to_numpy()
-            _, first = np.unique(ids, return_index=True)
+            ids, times = (
+                batch.column(c).dictionary_encode().indices.fill_null(-1).to_numpy().astype(np.int64)
+                for c in (key, "event_ts")
+            )
+            _, first = np.unique((ids + 1) * (batch.num_rows + 1) + times + 1, return_index=True)
             yield batch if len(first) == len(ids) else batch.take(pa.array(np.sort(first)))
 
     return events.mapInArrow(first_of_each, events.schema)

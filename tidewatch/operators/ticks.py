@@ -33,6 +33,7 @@ def tick_change(
     ticks are cut into equal ranges of (key, order) instead.
     """
     width = int(interval_seconds(slice_width) * 1_000_000)
+    events = settle(events, "ticks")  # read for the slices' ends and for the result
     sliced, ends, hottest, total = _slices(events, key, order, value, width)
     if hottest > max_slice_rows:
         width = max(1, width * max_slice_rows // (2 * hottest))

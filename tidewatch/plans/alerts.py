@@ -55,16 +55,24 @@ def dlq_rate_alerts(
 
 
 def quiet_minutes(
-    events: DataFrame, limits: AlertThresholds = AlertThresholds(), ts: str = "event_ts"
+    events: DataFrame, limits: AlertThresholds = AlertThresholds(), ts: str = "event_ts",
+    since: str | None = None, until: str | None = None,
 ) -> DataFrame:
     """Minutes, from the first to the last with events, that saw too few of them.
 
-    Minutes without any event count as 0; the minute line is laid out day by
-    day so that no single row has to hold all of it.
+    Minutes without any event count as 0; the days between are dealt out before
+    their minutes are laid out, so no task holds the whole line.  ``since`` and
+    ``until`` (timestamps as text) narrow the line, say where a stray event
+    would stretch it over years.
     """
     minute = F.date_trunc("minute", F.col(ts).cast("timestamp"))
+    bounds = F.col(ts).isNotNull()
+    if since is not None:
+        bounds &= F.col(ts) >= F.lit(since).cast("timestamp")
+    if until is not None:
+        bounds &= F.col(ts) <= F.lit(until).cast("timestamp")
     counts = (
-        events.filter(F.col(ts).isNotNull())
+        events.filter(bounds)
         .groupBy(minute.alias("minute"))
         .agg(F.count(F.lit(1)).alias("event_count"))
     )
@@ -73,7 +81,7 @@ def quiet_minutes(
     days = ends.filter(F.col("first").isNotNull()).select(
         "first", "last",
         F.explode(F.sequence(F.to_date("first"), F.to_date("last"))).alias("day"),
-    )
+    ).repartition("day")
     line = days.select(
         "first", "last",
         F.explode(
@@ -92,13 +100,14 @@ def quiet_minutes(
 
 
 def stall_alerts(
-    events: DataFrame, limits: AlertThresholds = AlertThresholds(), ts: str = "event_ts"
+    events: DataFrame, limits: AlertThresholds = AlertThresholds(), ts: str = "event_ts",
+    since: str | None = None, until: str | None = None,
 ) -> DataFrame:
     """A warning for every quiet minute."""
     message = F.format_string(
         f"%d events in a minute (threshold {limits.min_events_per_minute})", F.col("event_count")
     )
-    quiet = quiet_minutes(events, limits, ts)
+    quiet = quiet_minutes(events, limits, ts, since, until)
     return _alerts(quiet, F.col("minute"), "Throughput stall", "warning", message)
 
 

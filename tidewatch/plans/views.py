@@ -169,13 +169,11 @@ def top_error_reasons(letters: DataFrame, rows: int = 10) -> DataFrame:
     return counted.orderBy(F.desc("count"), "reason").limit(rows)
 
 
-def letter_listing(letters: DataFrame, rows: int = 100) -> DataFrame:
-    """The newest dead letters."""
-    return (
-        letters.orderBy(F.desc("processing_timestamp"), "error_reason", "original_message")
-        .limit(rows)
-        .select("processing_timestamp", "error_reason", "original_message")
-    )
+def letter_listing(letters: DataFrame, rows: int | None = None) -> DataFrame:
+    """The dead letters, newest first; with ``rows``, that many of them."""
+    listed = letters.orderBy(F.desc("processing_timestamp"), "error_reason", "original_message")
+    listed = listed if rows is None else listed.limit(rows)
+    return listed.select("processing_timestamp", "error_reason", "original_message")
 
 
 # --- over window aggregates ------------------------------------------------------

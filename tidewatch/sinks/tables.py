@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,25 +40,48 @@ def laid_out(df: DataFrame, layout: TableLayout) -> DataFrame:
 
 
 def append_table(df: DataFrame, base: str, layout: TableLayout, fmt: str = "parquet") -> None:
-    """Append a batch to a table, partitioned by date where it has one."""
+    """Append a batch to a table, partitioned by date where it has one.
+
+    A folder that Spark's file sink has streamed into is refused: readers go by
+    the sink's own log there and would not see the new rows.
+    """
+    if _exists(df.sparkSession, f"{base}/{layout.name}/_spark_metadata"):
+        raise ValueError(f"{base}/{layout.name} belongs to a stream; append to another folder")
     writer = laid_out(df, layout).write.format(fmt).mode("append")
     if layout.partition_by in df.columns:
         writer = writer.partitionBy(layout.partition_by)
     writer.save(f"{base}/{layout.name}")
 
 
-def parquet_batches(base: str, layout: TableLayout, fmt: str = "parquet", **options) -> BatchWriter:
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def parquet_batches(
+    base: str, layout: TableLayout, fmt: str = "parquet", checkpoint: str | None = None, **options
+) -> BatchWriter:
     """A per-batch writer that may be run again for the same batch.
 
-    Every micro-batch owns the folder ``batch_id=<n>`` and replaces it whole,
-    so a batch repeated after a failure leaves the same rows, not twice as many.
+    Every micro-batch owns the folder ``query_id=<id>/batch_id=<n>`` and replaces
+    it whole, so a batch repeated after a failure leaves the same rows, not twice
+    as many.  The query's id is kept in its checkpoint: a query with another
+    checkpoint counts from batch 0 again, but in folders of its own.
     """
+    known: list[str] = []
+
+    def query_id(spark: SparkSession) -> str:
+        if not known:
+            text = spark.read.text(f"{checkpoint}/metadata").first() if checkpoint else None
+            known.append(json.loads(text[0])["id"] if text else "none")
+        return known[0]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         writer = batch.write.format(fmt).options(**options).mode("overwrite")
         if layout.partition_by in batch.columns:
             writer = writer.partitionBy(layout.partition_by)
-        writer.save(f"{base}/{layout.name}/batch_id={batch_id}")
+        folder = f"query_id={query_id(batch.sparkSession)}/batch_id={batch_id}"
+        writer.save(f"{base}/{layout.name}/{folder}")
 
     return write
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..contracts import ALERT_SCHEMA
+from ..plans.alerts import known_severity
 
 _OUT = "at_micros long, title string, severity string, message string"
 
@@ -52,7 +53,8 @@ def cooled_down_stream(alerts: DataFrame, cooldown_seconds: float = 60.0) -> Dat
     Alerts are taken in order of time within a micro-batch; one older than the
     last sent is held back.  Needs the RocksDB state store.
     """
-    keyed = alerts.select(F.unix_micros("at").alias("at_micros"), "title", "severity", "message")
+    severity = known_severity(F.col("severity")).alias("severity")
+    keyed = alerts.select(F.unix_micros("at").alias("at_micros"), "title", severity, "message")
     sent = keyed.groupBy("title").transformWithStateInPandas(
         statefulProcessor=_Cooldown(int(cooldown_seconds * 1_000_000)),
         outputStructType=_OUT,

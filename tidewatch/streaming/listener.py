@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from datetime import datetime
 from time import monotonic, sleep
 
@@ -16,12 +17,13 @@ _TERMINATIONS = "query_id string, at timestamp, exception string"
 class ProgressListener(StreamingQueryListener):
     """Collects one small row per micro-batch until they are flushed.
 
-    Register it with ``spark.streams.addListener`` before starting queries.
+    Register it with ``spark.streams.addListener`` before starting queries.  If
+    nobody flushes, the newest ``keep`` rows are held and older ones forgotten.
     """
 
-    def __init__(self) -> None:
-        self._batches: list[tuple] = []
-        self._endings: list[tuple] = []
+    def __init__(self, keep: int = 100_000) -> None:
+        self._batches: deque[tuple] = deque(maxlen=keep)
+        self._endings: deque[tuple] = deque(maxlen=keep)
 
     def onQueryStarted(self, event) -> None:  # noqa: N802 - Spark's name
         pass
@@ -67,7 +69,7 @@ class ProgressListener(StreamingQueryListener):
 
     def flush(self, spark: SparkSession, path: str) -> int:
         """Append the collected batches to a metrics table and forget them."""
-        rows, self._batches = self._batches, []
+        rows = [self._batches.popleft() for _ in range(len(self._batches))]
         if rows:
             spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(
                 path

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -15,8 +17,9 @@ from ..contracts import (
 )
 from ..operators.routing import dead_letter_values
 from ..plans.batch import event_tables
-from ..settings import StreamOptions, new_folder, session_settings
+from ..settings import StreamOptions, session_settings
 from ..sinks.tables import batch_writer
+from .listener import ProgressListener
 
 OUTPUTS: dict[str, TableLayout] = {
     "raw_events": RAW_EVENTS,
@@ -25,12 +28,16 @@ OUTPUTS: dict[str, TableLayout] = {
 }
 
 
-def _writer(df: DataFrame, name: str, options: StreamOptions) -> DataStreamWriter:
-    checkpoints = options.checkpoints or new_folder(df.sparkSession, "checkpoints")
+def _checkpoint(name: str, options: StreamOptions, base: str) -> str:
+    """Beside the tables unless said otherwise: a restart goes on where the last run ended."""
+    return f"{options.checkpoints or f'{base}/_checkpoints'}/{name}"
+
+
+def _writer(df: DataFrame, name: str, options: StreamOptions, base: str) -> DataStreamWriter:
     writer = (
         df.writeStream.queryName(name)
         .outputMode("append")
-        .option("checkpointLocation", f"{checkpoints}/{name}")
+        .option("checkpointLocation", _checkpoint(name, options, base))
     )
     if options.available_now:
         return writer.trigger(availableNow=True)
@@ -64,15 +71,18 @@ def start_table(
     """
     if sink == "parquet":
         return start_partitioned(df, name, f"{base}/{layout.name}", layout.partition_by, options)
+    if sink == "table":
+        sink_options = {"checkpoint": _checkpoint(name, options, base)} | sink_options
     write = batch_writer(sink, base, layout, **sink_options)
-    return _start(_writer(df, name, options).foreachBatch(write), df, options)
+    return _start(_writer(df, name, options, base).foreachBatch(write), df, options)
 
 
 def start_partitioned(
     df: DataFrame, name: str, path: str, partition_by: str, options: StreamOptions
 ) -> StreamingQuery:
     """Stream a frame into partitioned Parquet files, every batch counted once."""
-    writer = _writer(df, name, options).format("parquet").option("path", path)
+    base = path.rpartition("/")[0]
+    writer = _writer(df, name, options, base).format("parquet").option("path", path)
     return _start(writer.partitionBy(partition_by), df, options)
 
 
@@ -83,8 +93,15 @@ def start_values(
     fmt: str = "text",
     **sink_options: str,
 ) -> StreamingQuery:
-    """Stream a frame of bus values to Kafka (``fmt="kafka"``) or to text files."""
-    return _start(_writer(df, name, options).format(fmt).options(**sink_options), df, options)
+    """Stream a frame of bus values to Kafka (``fmt="kafka"``) or to text files.
+
+    A sink that is no folder needs ``options.checkpoints``.
+    """
+    base = sink_options.get("path", "").rpartition("/")[0]
+    if not (options.checkpoints or base):
+        raise ValueError("set checkpoints: without them a restart sends everything again")
+    writer = _writer(df, name, options, base).format(fmt).options(**sink_options)
+    return _start(writer, df, options)
 
 
 def start_stream(
@@ -101,8 +118,10 @@ def start_stream(
     """Start one query per output over the same stream of bus records.
 
     Outputs: ``raw_events``, ``aggregates`` and ``dead_letters`` go to tables
-    below ``base``, ``dead_letter_bus`` goes out as JSON values.
+    below ``base``, ``dead_letter_bus`` goes out as JSON values.  Checkpoints are
+    kept beside the tables unless ``options`` name another place.
     """
+    options = replace(options, checkpoints=options.checkpoints or f"{base}/_checkpoints")
     tables = event_tables(
         records, bounds=bounds, options=options, pipeline_name=pipeline_name
     )
@@ -135,12 +154,27 @@ def finish(queries: dict[str, StreamingQuery]) -> None:
         query.awaitTermination()
 
 
-def wait_and_stop(spark: SparkSession, queries: dict[str, StreamingQuery]) -> None:
-    """Wait until any query ends, then stop the others, each on its own."""
+def wait_and_stop(
+    spark: SparkSession,
+    queries: dict[str, StreamingQuery],
+    listener: ProgressListener | None = None,
+    metrics: str | None = None,
+    every: int = 60,
+) -> None:
+    """Wait until any query ends, then stop the others, each on its own.
+
+    With a ``listener`` and a folder for ``metrics``, its rows are appended there
+    every so many seconds.
+    """
+    keep = listener is not None and metrics is not None
     try:
-        spark.streams.awaitAnyTermination()
+        while not spark.streams.awaitAnyTermination(every):
+            if keep:
+                listener.flush(spark, metrics)
     finally:
         stop(queries)
+        if keep:
+            listener.flush(spark, metrics)
 
 
 def stop(queries: dict[str, StreamingQuery]) -> list[str]:
