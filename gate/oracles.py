@@ -496,5 +496,9 @@ ORACLES |= {
     "stream_foreach_batch": ORACLES["stream_raw_events"],
     "overview_page": ORACLES["top_symbols_volume"],
     "quality_page": ORACLES["letter_listing"],
-    "report_files": ORACLES["dq_scorecard"],
+    "report_files": f"""
+        SELECT 'market-events' AS pipeline_name, 'test' AS environment, c.*,
+          (SELECT string_agg(t.count || ' ' || t.reason, '; ' ORDER BY t.count DESC, t.reason)
+           FROM ({ORACLES["dq_top_errors"]}) t) AS top_error_reasons
+        FROM ({ORACLES["dq_scorecard"]}) c""",
 }

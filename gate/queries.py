@@ -461,10 +461,12 @@ def dq_scorecard(spark, sf_dir):
 
 @query
 def report_files(spark, sf_dir):
-    card = quality.scorecard(judged_records(spark, sf_dir))
+    report = quality.report(judged_records(spark, sf_dir), "market-events", "test")
     folder = new_folder(spark, "reports")
-    write_report(card, folder)
-    return spark.read.schema(card.schema).json(folder)
+    write_report(report, folder)
+    read = spark.read.schema(report.schema).json(folder)
+    reasons = F.transform("top_error_reasons", lambda r: F.concat(r["count"], F.lit(" "), r["reason"]))
+    return read.withColumn("top_error_reasons", F.array_join(reasons, "; "))
 
 
 @query

@@ -1,4 +1,9 @@
-"""The data contracts: event schemas, table layouts and the values they fix."""
+"""The data contracts: event schemas, table layouts and the values they fix.
+
+Fixed values, which producers and readers rely on: the names and types of all
+columns, the bounds of the rules, the price bands, the instruments, and the
+limits of the alerts.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-# The JSON object on the wire.  Every field is nullable so that a bad record
-# turns into NULLs for the rules to judge instead of failing the job.
+# The JSON object on the wire.  All fields may be NULL: judging is the rules' work.
 WIRE_SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.StringType()),

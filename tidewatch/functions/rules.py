@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from ..contracts import WIRE_FIELDS, RuleBounds
 from .parse import add_once, iso_timestamp
 
+# The codes of the rules and the texts of the reasons, here and in
+# the rules below, are read by those who receive dead letters.
 CORRUPTED = "corrupted_json: payload was not parseable"
 
 

@@ -9,6 +9,7 @@ from ..contracts import ALERT_SCHEMA, AlertThresholds
 from ..functions.scores import rate_pct
 from ..settings import settle
 
+# Severities, and the titles below, by which repeated alerts are held back.
 SEVERITIES = ("info", "warning", "critical")
 
 

@@ -80,6 +80,25 @@ def scorecard(judged: DataFrame, approximate: bool = False) -> DataFrame:
     return overall.withColumn("grade", grade(F.col("overall_score")))
 
 
+def report(
+    judged: DataFrame, pipeline_name: str, environment: str, rows: int = 10
+) -> DataFrame:
+    """The scorecard with whose it is and its most frequent reasons; one row."""
+    reasons = top_reasons(judged, rows).agg(
+        F.array_sort(F.collect_list(F.struct(-F.col("count"), "reason"))).alias("_sorted")
+    )
+    reasons = reasons.select(
+        F.transform("_sorted", lambda r: F.struct(r["reason"].alias("reason"), (-r["col1"]).alias("count")))
+        .alias("top_error_reasons"),
+        F.lit(1).alias("_one"),
+    )
+    card = scorecard(judged).withColumn("_one", F.lit(1))
+    named = card.join(reasons, "_one").drop("_one")
+    return named.select(
+        F.lit(pipeline_name).alias("pipeline_name"), F.lit(environment).alias("environment"), "*"
+    )
+
+
 def top_reasons(judged: DataFrame, rows: int = 10, by_code: bool = False) -> DataFrame:
     """The most frequent first reasons of invalid records; ties by reason.
 
