@@ -19,7 +19,8 @@ _FIELDS = {
     "event_id": "CAST(event_id AS STRING)",
     "symbol": "CASE WHEN event_id % 100 <> 80 THEN event_type END",
     "company": "concat(initcap(event_type), ' Inc.')",
-    "price": "CASE WHEN event_id % 100 = 0 THEN -abs(value) ELSE value END",
+    "price": "CASE WHEN event_id % 100 = 0 THEN -abs(value) WHEN event_id % 100 = 90 "
+    "THEN 2000000.0D + value ELSE value END",
     "volume": "CASE WHEN event_id % 100 = 70 THEN -k - 1 ELSE k END",
     "change": "round(value - 50, 4)",
     "change_percent": "CASE WHEN event_id % 100 = 30 THEN 5000.0D "

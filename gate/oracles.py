@@ -37,7 +37,8 @@ src AS (
     CAST(n AS VARCHAR) AS event_id,
     CASE WHEN fault <> 80 THEN event_type END AS symbol,
     upper(event_type[1]) || event_type[2:] || ' Inc.' AS company,
-    CASE WHEN fault = 0 THEN -abs(value) WHEN fault <> 60 THEN value END AS price,
+    CASE WHEN fault = 0 THEN -abs(value) WHEN fault = 90 THEN 2000000.0::DOUBLE + value
+      WHEN fault <> 60 THEN value END AS price,
     CASE WHEN fault = 70 THEN -k - 1 WHEN fault <> 20 THEN k END AS volume,
     round(value - 50, 4) AS change,
     CASE WHEN fault = 30 THEN 5000.0 ELSE round((value - 50) / 50 * 100, 4) END AS change_percent,
@@ -138,6 +139,7 @@ _JUDGED = _WIRE + f"""
       CASE WHEN fault = 60
         THEN 'wrong_type: ''price'' must be numeric, got str (''NaN-dollars'')' END,
       CASE WHEN price <= 0 THEN 'invalid_price: ' || price || ' <= min 0.0' END,
+      CASE WHEN price > 1e6 THEN 'invalid_price: ' || price || ' > max 1000000.0' END,
       CASE WHEN volume < 0 THEN 'invalid_volume: ' || volume || ' < min 0' END,
       CASE WHEN change_percent < -100 OR change_percent > 1000 THEN
         'invalid_change_percent: ' || change_percent || ' outside [-100.0, 1000.0]' END,
