@@ -274,7 +274,15 @@ class Lexicon:
 
 
 def build_lexicon(counts: DataFrame, options: Options, n_kinds: int) -> Lexicon:
-    head = counts.orderBy(F.col("c").desc(), "word").limit(options.head).toPandas()
+    # the most frequent words, at most options.head: whole sixteenths of a power of two
+    level = F.floor(F.log2("c") * 16)
+    least, n = None, 0
+    for r in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        if n + r["count"] > options.head:
+            break
+        least, n = r.level, n + r["count"]
+    head = counts.where(F.lit(False) if least is None else level >= least).toPandas()
+    head = head.sort_values(["c", "word"], ascending=[False, True])
     rest = {
         r.kind: (r.c, r.v)
         for r in counts.groupBy("kind").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()
