@@ -496,6 +496,9 @@ ORACLES: dict[str, str] = {
 ORACLES |= {
     "stream_restart": ORACLES["stream_raw_events"],
     "stream_foreach_batch": ORACLES["stream_raw_events"],
+    "table_rows_raw": ORACLES["stream_raw_events"],
+    "table_rows_windows": ORACLES["stream_agg_append"],
+    "table_rows_letters": ORACLES["stream_dlq"],
     "overview_page": ORACLES["top_symbols_volume"],
     "quality_page": ORACLES["letter_listing"],
     "report_files": f"""

@@ -364,12 +364,38 @@ def table_row_counts(spark, sf_dir):
     )
 
 
+def _written(spark: SparkSession, sf_dir: str, *names: str) -> str:
+    """Write tables of the feed from one judged pass; where they are."""
+    t = tables(spark, sf_dir).settled()
+    frames = {"events_raw": lambda: t.raw_events, "events_aggregates_1m": lambda: t.aggregates,
+              "dead_letter_events": lambda: t.letters}
+    base = new_folder(spark, "tables")
+    write_tables({name: frames[name]() for name in names}, base)
+    return base
+
+
+@query
+def table_rows_raw(spark, sf_dir):
+    raw = read_table(spark, _written(spark, sf_dir, "events_raw"), "events_raw")
+    return plain(raw.drop("processing_time"))
+
+
+@query
+def table_rows_windows(spark, sf_dir):
+    name = "events_aggregates_1m"
+    return plain(read_table(spark, _written(spark, sf_dir, name), name).drop("processing_time"))
+
+
+@query
+def table_rows_letters(spark, sf_dir):
+    name = "dead_letter_events"
+    letters = read_table(spark, _written(spark, sf_dir, name), name)
+    return letters.select("original_message", "error_reason", "pipeline_name")
+
+
 @query
 def table_round_trip(spark, sf_dir):
-    t = tables(spark, sf_dir)
-    base = new_folder(spark, "tables")
-    write_tables({"events_raw": t.raw_events, "events_aggregates_1m": t.aggregates,
-                  "dead_letter_events": t.letters}, base)
+    base = _written(spark, sf_dir, "events_raw", "events_aggregates_1m", "dead_letter_events")
     raw = read_table(spark, base, "events_raw").groupBy("event_date", "symbol", "exchange").agg(
         F.count(F.lit(1)).alias("events"), F.sum("event_year").alias("years")
     )

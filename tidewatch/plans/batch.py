@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +13,7 @@ from ..functions.parse import parse_events
 from ..operators.dedup import deduplicate
 from ..operators.routing import dead_letters, split_events, tag_events
 from ..operators.windows import aggregate_windows
-from ..settings import StreamOptions
+from ..settings import StreamOptions, settle
 
 
 @dataclass(frozen=True)
@@ -35,6 +35,17 @@ class EventTables:
         """Parsed records with the reason they are invalid, if they are."""
         return tag_events(parse_events(self.records), self.bounds)
 
+    def settled(self) -> EventTables:
+        """The same tables over written intermediate rows, for runs that write several.
+
+        Records are parsed and judged once, and deduplicated once, whatever is
+        then asked for.
+        """
+        once = replace(self)
+        once.__dict__["tagged"] = settle(self.tagged, "judged")
+        once.__dict__["enriched"] = settle(once.enriched, "events")
+        return once
+
     @cached_property
     def valid(self) -> DataFrame:
         return split_events(self.tagged)[0]
