@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import WORD, whole
+from tidewatch.llm.common import WORD, table, whole
 from tidewatch.llm.components import components
 from tidewatch.settings import settle
 
@@ -61,7 +61,9 @@ def _fingerprint(text: str, shingle: int, find, digest) -> int:
     return int(over.view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4
+) -> DataFrame:
     """``(id, fp)`` of every row; the fingerprint's 64 bits as a signed long."""
 
     def run(batches):
@@ -209,8 +211,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
 def op8_simhash(spark, sf_dir):
     """Fingerprint and component of every row of documents."""
-    from tidewatch.llm.common import table
-
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
         F.col("id").alias("doc_id"),
