@@ -109,9 +109,11 @@ def test_windows_carry_the_state():
 
 def test_lanes_hold_every_token_once():
     lengths = np.array([5, 1, 9, 3, 3, 7])
-    row, lane, height = laid_out(lengths, 3)
+    row, lane, heights = laid_out(lengths, 3)
     cells = set(zip(row.tolist(), lane.tolist()))
-    assert len(cells) == lengths.sum() and max(row) < height
+    assert len(cells) == lengths.sum() == heights.sum() and max(row) < heights[0]
+    assert (np.diff(heights) <= 0).all()
+    assert all(row[lane == k].max() == heights[k] - 1 for k in range(3))
     first = np.cumsum(lengths) - lengths
     assert all((np.diff(row[a : a + n]) == 1).all() for a, n in zip(first, lengths))
 

@@ -72,6 +72,20 @@ class GRU:
         logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
         return logits
 
+    @staticmethod
+    def _log_picked(states, weights, biases, picked: np.ndarray) -> np.ndarray:
+        """Of each row's softmax, the log of the probability picked."""
+        logits = states @ weights + biases
+        # states lie between -1 and 1, which bounds all logits; far bounds need each row's own
+        reach = np.abs(weights).sum(axis=0)
+        top = (biases + reach).max()
+        if top - (biases - reach).max() > 60:
+            top = logits.max(axis=1, keepdims=True)
+        logits -= top
+        found = logits[np.arange(len(logits)), picked]
+        total = np.exp(logits, out=logits) @ np.ones(logits.shape[1], logits.dtype)
+        return found - np.log(total)
+
     def _by_class(self, classes: np.ndarray):
         """Rows of each class with members."""
         order = np.argsort(classes, kind="stable")
@@ -88,11 +102,9 @@ class GRU:
         p = self.views(vector)
         states, h = self._states(p, inputs, h)
         flat, classes, places = states.reshape(-1, self.hidden), classes.ravel(), places.ravel()
-        rows = np.arange(len(flat))
-        out = self._log_softmax(flat @ p["wc"] + p["bc"])[rows, classes]
+        out = self._log_picked(flat, p["wc"], p["bc"], classes)
         for part, who in self._by_class(classes):
-            found = self._log_softmax(flat[who] @ p["wm"][:, part] + p["bm"][part])
-            out[who] += found[np.arange(len(who)), places[who]]
+            out[who] += self._log_picked(flat[who], p["wm"][:, part], p["bm"][part], places[who])
         out[classes < 0] = 0
         return out.reshape(inputs.shape), h
 
@@ -138,10 +150,12 @@ class GRU:
         return grad, last
 
 
-def lanes(lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Lane and begin of each sequence when all are laid end to end in ``n`` lanes; the height.
+def lanes(lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lane and begin of each sequence when all are laid end to end in ``n`` lanes, and the
+    lanes' heights.
 
-    Longest first, each to the lane that is shortest so far.
+    Longest first, each to the lane that is shortest so far.  Lanes are numbered from the
+    highest to the lowest, so those in use at any row are the first ones.
     """
     lane, begin = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
     heap = [(0, k) for k in range(n)]
@@ -149,15 +163,18 @@ def lanes(lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, int]:
         at, k = heap[0]
         lane[i], begin[i] = k, at
         heapq.heapreplace(heap, (at + int(lengths[i]), k))
-    return lane, begin, max(at for at, _ in heap)
+    heights, number = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for i, (at, k) in enumerate(sorted(heap, reverse=True)):
+        heights[i], number[k] = at, i
+    return number[lane], begin, heights
 
 
-def laid_out(lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """For sequences given end to end: each element's row and lane, and the height."""
-    lane, begin, height = lanes(lengths, n)
+def laid_out(lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For sequences given end to end: each element's row and lane, and the lanes' heights."""
+    lane, begin, heights = lanes(lengths, n)
     first = np.repeat(np.cumsum(lengths) - lengths, lengths)
     row = np.arange(int(lengths.sum())) - first + np.repeat(begin, lengths)
-    return row, np.repeat(lane, lengths), height
+    return row, np.repeat(lane, lengths), heights
 
 
 class Adam:

@@ -72,7 +72,7 @@ class Options:
     rate: float = 0.01
     steps: int = 300  # that a worker takes in a round at least, going over its texts again
     window: int = 32  # of backpropagation
-    lanes: int = 256  # texts scored side by side
+    lanes: int = 512  # texts scored side by side
 
 
 def _tokens(batch, kinds: Kinds | None):
@@ -338,7 +338,8 @@ def train_network(train: DataFrame, kinds: Kinds, lexicon: Lexicon, options: Opt
             )
             # so few lanes that the longest text does not run on beside empty ones
             n_lanes = int(np.clip(lengths.sum() // max(lengths.max(), options.window), 1, 64))
-            row, lane, height = laid_out(lengths, n_lanes)
+            row, lane, heights = laid_out(lengths, n_lanes)
+            height = int(heights[0])
             grid = np.zeros((3, height, n_lanes), np.int64)
             grid[0], grid[1] = lexicon.short + lexicon.n_kinds, -1
             for k, x in enumerate((lexicon.before(inputs, lengths), classes, within)):
@@ -377,14 +378,19 @@ def _score_batch(parts, network: GRU, vector, lexicon: Lexicon, options: Options
     lengths = np.concatenate([p[2] for p in parts])
     counts, inputs, classes, within = lexicon.look_up(tokens, looks)
     n_lanes = int(min(options.lanes, len(lengths)))
-    row, lane, height = laid_out(lengths, n_lanes)
+    row, lane, heights = laid_out(lengths, n_lanes)
+    height = int(heights[0])
     grid = np.zeros((3, height, n_lanes), np.int32)
     grid[0], grid[1] = lexicon.short + lexicon.n_kinds, -1
     for k, x in enumerate((lexicon.before(inputs, lengths), classes, within)):
         grid[k][row, lane] = x
     logs, h = np.empty((height, n_lanes), np.float32), np.zeros((n_lanes, options.hidden), np.float32)
-    for at in range(0, height, 64):
-        logs[at : at + 64], h = network.logs(vector, *grid[:, at : at + 64], h)
+    at = 0
+    while at < height:
+        used = int((heights > at).sum())  # the longest texts run on in a few lanes
+        part = slice(at, at + max(options.window, (1 << 14) // used))
+        logs[part, :used], h = network.logs(vector, *grid[:, part, :used], h[:used])
+        at = part.stop
     doc = np.repeat(np.arange(len(lengths)), lengths)
 
     def per_text(which, values):
