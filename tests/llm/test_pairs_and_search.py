@@ -183,6 +183,30 @@ def test_passages_match_brute_force_on_documents(spark):
     assert shared > 100 and missing <= 0.01 * shared
 
 
+def test_fuzzy_passages_are_found(documents):
+    rng = np.random.default_rng(9)
+    text = lambda n: [f"w{int(i)}" for i in rng.integers(0, 10**9, n)]
+    rows, kinds = [], {}
+    for n in (40, 50, 60, 80, 100):
+        for share in (0.05, 0.1, 0.12, 0.15, 0.18, 0.2):
+            for _ in range(20):
+                passage = text(n)
+                # the ends stay: a changed word there only makes the passage shorter
+                fuzzy = list(passage)
+                for i in rng.choice(np.arange(1, n - 1), int(share * n), replace=False):
+                    fuzzy[i] = text(1)[0]
+                kinds[len(rows) + 1] = n, share
+                rows += [text(30) + passage + text(40), text(60) + fuzzy + text(10)]
+    docs = documents([(i, " ".join(w)) for i, w in enumerate(rows)])
+    found = {(r.id, r.first_id) for r in chains.passages(docs).collect()}
+    assert found <= {(i, i - 1) for i in kinds}
+    per = {k: [(i, i - 1) in found for i in kinds if kinds[i] == k] for k in kinds.values()}
+    recall = {k: sum(hits) / len(hits) for k, hits in per.items()}
+    print(recall)
+    assert all(r == 1 for (_, share), r in recall.items() if share <= 0.15), recall
+    assert min(recall.values()) >= 0.9, recall
+
+
 def test_passages_odd_rows(odd):
     found = {(r.id, r.first_id) for r in chains.passages(odd).collect()}
     assert found == set()
