@@ -183,6 +183,23 @@ def test_passages_match_brute_force_on_documents(spark):
     assert shared > 100 and missing <= 0.01 * shared
 
 
+def test_passages_of_sentences_seen_earlier_elsewhere(documents):
+    rng = np.random.default_rng(8)
+    text = lambda n: [f"w{int(i)}" for i in rng.integers(0, 10**9, n)]
+    rows, wanted, id_ = [], set(), 0
+    for sentences in ((35, 35), (39, 39, 39), (30, 30, 30), (20, 20, 20, 20)):
+        for _ in range(10):
+            parts = [text(n) for n in sentences]
+            for part in parts:
+                rows.append((id_, text(20) + part + text(20)))
+                id_ += 1
+            rows += [(id_, text(50) + sum(parts, []) + text(9)), (id_ + 1, text(9) + sum(parts, []) + text(50))]
+            wanted.add((id_ + 1, id_))
+            id_ += 2
+    found = {(r.id, r.first_id) for r in chains.passages(documents([(i, " ".join(w)) for i, w in rows])).collect()}
+    assert found == wanted
+
+
 def test_fuzzy_passages_are_found(documents):
     rng = np.random.default_rng(9)
     text = lambda n: [f"w{int(i)}" for i in rng.integers(0, 10**9, n)]
