@@ -162,6 +162,19 @@ def test_base_is_exact_and_the_model_better(spark):
     assert gain / total > 0.1
 
 
+def test_every_training_document_is_learned_from(documents):
+    """Texts whose hash is not 0 modulo 16 teach the network as any others do."""
+    rows = [(i, f"begin{i} " + "left right up down " * 40) for i in range(40)]
+    hashed = F.pmod(F.xxhash64("text"), F.lit(16)) != 0
+    docs = documents(rows).where(hashed).limit(12)
+    docs = docs.union(documents([(100, "left right up down " * 20)]))
+    found = {r.id: r for r in lm.score_texts(docs, F.col("doc_id") == 100).collect()}
+    held = found[100]
+    assert held.held_out and held.n_tokens == 81
+    # known orders are worth far more than frequencies: 0.6 of 4 words' log10(4) at least
+    assert (held.score - held.base_score) / held.n_tokens > 0.36
+
+
 def test_lm_odd_rows(odd):
     held = F.col("doc_id") == 6
     found = lm.score_texts(odd.withColumn("key", F.lit("x")), held).collect()

@@ -14,8 +14,8 @@ word has its share of counts, ``(c + 0.5) / (sum of (c + 0.5) + 0.5)``; the last
 is that of a word never seen.  So every text has a probability, and it sums to one over
 words as the base score's does.  The state is a GRU's.
 
-**Training.**  A share of the training documents (by a hash of their text, so it grows
-with them) is dealt to workers of about ``worker_tokens`` tokens.  In each round every
+**Training.**  All training documents (``share`` above 1: one in so many, by a hash of
+the text) are dealt to workers of about ``worker_tokens`` tokens.  In each round every
 worker runs truncated backpropagation over its texts, starting from the common
 parameters; the new common parameters are the workers' mean.
 
@@ -66,7 +66,7 @@ class Options:
     head: int = 1 << 17
     class_size: int = 24
     hidden: int = 16
-    share: int = 16  # one in so many training documents is learned from
+    share: int = 1  # one in so many training documents is learned from; 1: all
     worker_tokens: int = 1_000_000
     rounds: int = 2
     rate: float = 0.01
@@ -303,6 +303,10 @@ def train_network(train: DataFrame, kinds: Kinds, lexicon: Lexicon, options: Opt
     vector = network.start(lexicon.class_logs, lexicon.member_logs)
     shared = spark.sparkContext.broadcast((kinds, lexicon))  # bounded by the options
 
+    # no number of an input, a class or a member exceeds that of the inputs and classes
+    small = max(lexicon.short + lexicon.n_kinds, len(lexicon.members)) < 1 << 15
+    number, kind = (np.int16, "short") if small else (np.int32, "int")
+
     def encode(batches):
         kinds, lexicon = shared.value
         for batch in batches:
@@ -311,15 +315,16 @@ def train_network(train: DataFrame, kinds: Kinds, lexicon: Lexicon, options: Opt
                 _, inputs, classes, within = lexicon.look_up(tokens, looks)
                 bounds = pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32))
                 lists = [
-                    pa.ListArray.from_arrays(bounds, pa.array(x.astype(np.int32)))
+                    pa.ListArray.from_arrays(bounds, pa.array(x.astype(number)))
                     for x in (inputs, classes, within)
                 ]
                 yield pa.RecordBatch.from_arrays([*lists, pa.array(lengths)], ["i", "c", "m", "n"])
 
-    part = train.where(F.pmod(F.xxhash64("text"), F.lit(options.share)) == 0).select("text")
-    texts = settle(
-        part.mapInArrow(encode, "i array<int>, c array<int>, m array<int>, n long"), "texts"
-    )
+    part = train.select("text")
+    if options.share > 1:
+        part = part.where(F.pmod(F.xxhash64("text"), F.lit(options.share)) == 0)
+    columns = f"i array<{kind}>, c array<{kind}>, m array<{kind}>, n long"
+    texts = settle(part.mapInArrow(encode, columns), "texts")
     tokens = texts.agg(F.sum("n")).first()[0] or 0
     if not tokens:
         return vector
