@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import cache
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -131,3 +131,29 @@ def byte_slices(batch, column: str = "text", most: int = 1 << 21):
         end = min(max(end, begin + 1), batch.num_rows)
         yield batch.slice(begin, end - begin)
         begin = end
+
+
+# -- numbers without gaps -------------------------------------------------------------
+
+
+def dense_numbers(
+    df: DataFrame, part: str, rank: str, name: str, within: tuple[str, ...] = ()
+) -> DataFrame:
+    """``df`` with ``name`` in place of ``part`` and ``rank``: numbers from 0, without gaps.
+
+    ``df`` is settled; in each part (and group ``within``) its ranks are gapless, from
+    wherever they begin, and may repeat.  The parts follow one another.  The table of
+    where each part begins has a row per part and group, so it is broadcast.
+    """
+    cells = df.groupBy(*within, part).agg(
+        F.min(rank).alias("_first"), (F.max(rank) - F.min(rank) + 1).alias("_n")
+    )
+    before = Window.partitionBy(*within).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = cells.select(
+        *within, part, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+    )
+    return (
+        df.join(F.broadcast(starts), [*within, part])
+        .withColumn(name, F.col("_start") + F.col(rank) - F.col("_first"))
+        .drop(part, rank, "_first", "_start")
+    )

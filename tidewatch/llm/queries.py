@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from tidewatch.llm.audit import OP13_SQL, op13_audit
 from tidewatch.llm.bitsliced import OP6_SQL, op6_bitsliced
 from tidewatch.llm.chains import op2_chains
 from tidewatch.llm.hosts import OP10_SQL, op10_hosts
@@ -11,6 +12,7 @@ from tidewatch.llm.lm import op7_lm
 from tidewatch.llm.mixing import OP3_SQL, op3_mixing
 from tidewatch.llm.quality import op9_quality
 from tidewatch.llm.sentencepiece import op1_sentencepiece
+from tidewatch.llm.sharding import OP12_SQL, op12_sharding
 from tidewatch.llm.simhash import op8_simhash
 from tidewatch.llm.urls import OP5_SQL, op5_urls
 
@@ -26,6 +28,8 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
     "op10_hosts": op10_hosts,
+    "op12_sharding": op12_sharding,
+    "op13_audit": op13_audit,
 }
 
 ORACLES: dict[str, str] = {
@@ -34,6 +38,8 @@ ORACLES: dict[str, str] = {
     "op5_urls": OP5_SQL,
     "op6_bitsliced": OP6_SQL,
     "op10_hosts": OP10_SQL,
+    "op12_sharding": OP12_SQL,
+    "op13_audit": OP13_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
