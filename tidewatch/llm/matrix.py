@@ -190,10 +190,10 @@ def global_shards(shards: DataFrame, codes: DataFrame) -> DataFrame:
         numbers[codes["code"].to_numpy()] = codes["term_id"].to_numpy()
         out = []
         for row in shard.to_batches(max_chunksize=1):
-            indices = numbers[row["indices"].values.to_numpy()]
-            sizes = np.diff(row["indptr"].values.to_numpy())
+            indices = numbers[row["indices"].flatten().to_numpy()]
+            sizes = np.diff(row["indptr"].flatten().to_numpy())
             order = np.lexsort((indices, np.repeat(np.arange(len(sizes)), sizes)))
-            counts = row["counts"].values.to_numpy()[order]
+            counts = row["counts"].flatten().to_numpy()[order]
             out.append(
                 pa.RecordBatch.from_arrays(
                     [row["shard"], row["rows"], row["indptr"], one_list(counts), one_list(indices[order])],
@@ -207,11 +207,21 @@ def global_shards(shards: DataFrame, codes: DataFrame) -> DataFrame:
 
 
 def matrix_rows(shards: DataFrame) -> DataFrame:
-    """The carried columns of each row with ``total``, the sum of its counts, and ``nonzero``."""
-    at, size = F.col("indptr")[F.col("i")], F.col("indptr")[F.col("i") + 1] - F.col("indptr")[F.col("i")]
-    entries = F.slice("counts", at + 1, size)
-    return shards.select("indptr", "counts", F.posexplode("rows").alias("i", "row")).select(
-        "row.*",
-        F.aggregate(entries, F.lit(0).cast("long"), lambda s, x: s + x).alias("total"),
-        size.cast("long").alias("nonzero"),
+    """The carried columns of each row with ``total``, the sum of its counts, and ``nonzero``,
+    how many entries it has."""
+    carried = shards.schema["rows"].dataType.elementType
+    schema = T.StructType(
+        [*carried, T.StructField("total", T.LongType()), T.StructField("nonzero", T.LongType())]
     )
+
+    def count(batches):
+        for batch in batches:
+            for shard in range(batch.num_rows):
+                rows, indptr, counts = (batch[c].slice(shard, 1).flatten() for c in ("rows", "indptr", "counts"))
+                indptr = indptr.to_numpy()
+                sums = np.concatenate(([0], np.cumsum(counts.to_numpy(), dtype=np.int64)))
+                totals = pa.array(sums[indptr[1:]] - sums[indptr[:-1]])
+                nonzero = pa.array(np.diff(indptr).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([*rows.flatten(), totals, nonzero], schema.names)
+
+    return shards.select("rows", "indptr", "counts").mapInArrow(count, schema)

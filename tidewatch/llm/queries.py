@@ -11,6 +11,7 @@ from tidewatch.llm.lines import OP4_SQL, op4_lines
 from tidewatch.llm.lm import op7_lm
 from tidewatch.llm.mixing import OP3_SQL, op3_mixing
 from tidewatch.llm.quality import op9_quality
+from tidewatch.llm.ranked import OP11_SQL, op11_ranked
 from tidewatch.llm.sentencepiece import op1_sentencepiece
 from tidewatch.llm.sharding import OP12_SQL, op12_sharding
 from tidewatch.llm.simhash import op8_simhash
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
     "op10_hosts": op10_hosts,
+    "op11_ranked": op11_ranked,
     "op12_sharding": op12_sharding,
     "op13_audit": op13_audit,
 }
@@ -38,6 +40,7 @@ ORACLES: dict[str, str] = {
     "op5_urls": OP5_SQL,
     "op6_bitsliced": OP6_SQL,
     "op10_hosts": OP10_SQL,
+    "op11_ranked": OP11_SQL,
     "op12_sharding": OP12_SQL,
     "op13_audit": OP13_SQL,
 }
