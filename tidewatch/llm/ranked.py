@@ -360,7 +360,7 @@ def _search(batch: pa.RecordBatch, row: int, k: int) -> pa.RecordBatch:
 def _one_row(df: DataFrame, **arrays: str) -> DataFrame:
     """A row of arrays: columns ``arrays`` in the order of the first column of ``df``."""
     kept = F.array_sort(F.collect_list(F.struct(*df.columns)))
-    return df.agg(*(F.transform(kept, lambda r, c=c: r[c]).alias(n) for n, c in arrays.items()))
+    return df.agg(kept.alias("kept")).select(*(F.col("kept")[c].alias(n) for n, c in arrays.items()))
 
 
 def _search_block(shards: DataFrame, totals: tuple, items: DataFrame, k: int, block: int) -> DataFrame:
