@@ -256,7 +256,8 @@ def test_staged_run_is_incremental_and_equals_batch(spark, feed, tmp_path):
     assert read_letter_lines(spark, f"{base}/dead_letter_values").count() == 1
 
 
-def test_cooldown_in_a_stream(spark, tmp_path):
+@pytest.mark.parametrize("keep", [1, 100_000])
+def test_cooldown_in_a_stream(spark, tmp_path, keep):
     from tidewatch.contracts import ALERT_SCHEMA
     from tidewatch.streaming.cooldown import cooled_down_stream
     from tidewatch.streaming.run import start_values
@@ -267,13 +268,92 @@ def test_cooldown_in_a_stream(spark, tmp_path):
         rows = [(base + dt.timedelta(seconds=s), "a", "warning", "m") for s in seconds]
         spark.createDataFrame(rows, ALERT_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
     stream = spark.readStream.schema(ALERT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
-    out = cooled_down_stream(stream)
+    out = cooled_down_stream(stream, keep_rows=keep)
     query = start_values(out, "cool", ONCE, "parquet", path=str(tmp_path / "out"))
     finish({"cool": query})
     sent = spark.read.parquet(str(tmp_path / "out")).orderBy("at").collect()
     assert [(r["at"] - base).total_seconds() for r in sent] == [0, 60, 121, 181]
 
 
+def test_a_million_alerts_of_one_title_in_one_batch(spark, tmp_path):
+    """They wait in the state, chunk by chunk; what goes out is the batch's rule."""
+    from pyspark.sql import functions as F
+
+    from tidewatch.contracts import ALERT_SCHEMA
+    from tidewatch.streaming.cooldown import cooled_down_stream
+    from tidewatch.streaming.run import start_values
+
+    folder = str(tmp_path / "alerts")
+    n, start = 1_000_000, 1_767_225_600
+    spark.range(n).select(
+        F.timestamp_micros(F.lit(start * 1_000_000) + F.col("id") * 7919 % n * 3600).alias("at"),
+        F.lit("a").alias("title"), F.lit("warning").alias("severity"), F.lit("m").alias("message"),
+    ).write.parquet(folder)
+    stream = spark.readStream.schema(ALERT_SCHEMA).parquet(folder)
+    out = cooled_down_stream(stream, keep_rows=20_000)
+    finish({"cool": start_values(out, "many", ONCE, "parquet", path=str(tmp_path / "out"))})
+    sent = spark.read.parquet(str(tmp_path / "out")).select(F.unix_micros("at")).collect()
+    expect, last = [], None
+    for t in range(n):
+        if last is None or (t - last) * 3600 >= 60_000_000:
+            expect.append(start * 1_000_000 + t * 3600)
+            last = t
+    assert sorted(r[0] for r in sent) == expect
+
+
+def test_put_away_alerts_are_walked_in_small_memory():
+    """The processor itself, without a session: no more rows at once than it may keep."""
+    import numpy as np
+    import pandas as pd
+
+    from tidewatch.streaming import cooldown
+
+    class Value:
+        held = None
+
+        def exists(self):
+            return self.held is not None
+
+        def get(self):
+            return self.held
+
+        def update(self, value):
+            self.held = value
+
+    class Map(dict):
+        def updateValue(self, key, value):
+            self[key] = value
+
+        def getValue(self, key):
+            return self[key]
+
+    rng = np.random.default_rng(3)
+    at = rng.permutation(1_000_000) * 3_600
+    chunks = [pd.DataFrame({"at_micros": a, "severity": "warning", "message": "m"}) for a in np.split(at, 100)]
+    walker = cooldown._Cooldown(60_000_000, keep=20_000)
+    walker._last, walker._waiting = Value(), Map()
+    largest = []
+    concat = pd.concat
+
+    def watched(frames, **options):
+        out = concat(frames, **options)
+        largest.append(len(out))
+        return out
+
+    cooldown.pd.concat = watched
+    try:
+        sent = [int(r["at_micros"].iloc[0]) for r in walker.handleInputRows(("a",), iter(chunks), None)]
+    finally:
+        cooldown.pd.concat = concat
+    expect, last = [], None
+    for t in sorted(at.tolist()):
+        if last is None or t - last >= 60_000_000:
+            expect.append(t)
+            last = t
+    assert sent == expect
+    assert max(largest) <= 30_000 and not walker._waiting
+
+
 def test_failure_between_write_and_commit_loses_and_repeats_nothing(spark, feed, tmp_path):
     """The writer dies after its second batch is on disk; the restart repeats that batch."""
     for i in range(3):
