@@ -1,4 +1,6 @@
+import datetime as dt
 import json
+import os
 import sys
 from pathlib import Path
 
@@ -73,3 +75,25 @@ def event():
         return {k: v for k, v in (EVENT | changes).items() if v is not ...}
 
     return make
+
+
+@pytest.fixture
+def feed(spark, event, tmp_path):
+    """A landing folder for text files; each call lands one file, in order."""
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    landed = []
+
+    def land(*rows):
+        lines = []
+        for event_id, second, changes in rows:
+            stamp = dt.datetime(2026, 6, 25) + dt.timedelta(seconds=second)
+            given = event(event_id=event_id, timestamp=stamp.isoformat() + "Z", **changes)
+            lines.append(json.dumps(given))
+        path = folder / f"{len(landed):03d}.txt"
+        path.write_text("\n".join(lines) + "\n")
+        os.utime(path, (1_700_000_000 + len(landed),) * 2)
+        landed.append(path)
+        return str(folder)
+
+    return land

@@ -30,30 +30,6 @@ from tidewatch.streaming.run import finish, start_stream, stop
 ONCE = StreamOptions(available_now=True, max_files_per_trigger=1)
 
 
-@pytest.fixture
-def feed(spark, event, tmp_path):
-    """A landing folder for text files; each call lands one file, in order."""
-    folder = tmp_path / "feed"
-    folder.mkdir()
-    landed = []
-
-    def land(*rows):
-        import os
-
-        lines = []
-        for event_id, second, changes in rows:
-            stamp = dt.datetime(2026, 6, 25) + dt.timedelta(seconds=second)
-            given = event(event_id=event_id, timestamp=stamp.isoformat() + "Z", **changes)
-            lines.append(json.dumps(given))
-        path = folder / f"{len(landed):03d}.txt"
-        path.write_text("\n".join(lines) + "\n")
-        os.utime(path, (1_700_000_000 + len(landed),) * 2)
-        landed.append(path)
-        return str(folder)
-
-    return land
-
-
 def run(spark, folder, base, options=ONCE, **kwargs):
     finish(start_stream(stream_records(spark, folder, "text", options), str(base), options, **kwargs))
 

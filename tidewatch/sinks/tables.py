@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import TABLES, TableLayout
+from ..sources.compacted import exists
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -45,7 +46,7 @@ def append_table(df: DataFrame, base: str, layout: TableLayout, fmt: str = "parq
     A folder that Spark's file sink has streamed into is refused: readers go by
     the sink's own log there and would not see the new rows.
     """
-    if _exists(df.sparkSession, f"{base}/{layout.name}/_spark_metadata"):
+    if exists(df.sparkSession, f"{base}/{layout.name}/_spark_metadata"):
         raise ValueError(f"{base}/{layout.name} belongs to a stream; append to another folder")
     writer = laid_out(df, layout).write.format(fmt).mode("append")
     if layout.partition_by in df.columns:
@@ -53,11 +54,6 @@ def append_table(df: DataFrame, base: str, layout: TableLayout, fmt: str = "parq
     writer.save(f"{base}/{layout.name}")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
-
-
 def parquet_batches(
     base: str, layout: TableLayout, fmt: str = "parquet", checkpoint: str | None = None, **options
 ) -> BatchWriter:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import INSTRUMENT_SCHEMA, INSTRUMENTS, KAFKA_SCHEMA, TABLES
 from ..settings import StreamOptions
+from .compacted import read_laid_out
 
 
 def kafka_options(
@@ -114,9 +115,11 @@ def read_letter_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """One of the output tables, with its fixed schema and partitions by date."""
-    fields = TABLES[name].schema
-    return spark.read.schema(fields).parquet(f"{base}/{name}").select(*fields.fieldNames())
+    """One of the output tables, with its fixed schema and partitions by date.
+
+    Dates that have been compacted are read from their clustered files.
+    """
+    return read_laid_out(spark, base, TABLES[name])
 
 
 def instruments(spark: SparkSession, rows=INSTRUMENTS) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import (
@@ -28,9 +28,12 @@ from ..operators.dedup import deduplicate_stream
 from ..operators.routing import REASON, dead_letter_values, dead_letters, tag_events
 from ..operators.windows import aggregate_windows
 from ..settings import StreamOptions
-from .run import finish, start_partitioned, start_table, start_values
+from ..sinks.compaction import compact, retire, vacuum
+from ..sources.compacted import exists
+from .run import _checkpoint, finish, start_partitioned, start_table, start_values
 
 TAGGED = "events_tagged"
+TAGGED_READERS = ("staged_raw", "staged_letters", "staged_bus")
 
 
 def run_staged(
@@ -43,7 +46,8 @@ def run_staged(
     """Bring all tables below ``base`` up to date with the stream of records.
 
     Every call takes in what arrived since the last one and returns; call it
-    on a schedule.  Checkpoints are kept beside the tables.
+    on a schedule.  Checkpoints are kept beside the tables.  Files of judged
+    records go once all three streams that read them have committed them.
     """
     spark = records.sparkSession
     options = replace(
@@ -72,6 +76,8 @@ def run_staged(
         }
     )
 
+    retire(spark, path, [_checkpoint(r, options, base) for r in TAGGED_READERS])
+
     events = (
         spark.readStream.schema(RAW_EVENTS.schema)
         .parquet(f"{base}/{RAW_EVENTS.name}")
@@ -81,3 +87,26 @@ def run_staged(
     )
     windows = aggregate_windows(events, options.window, options.slide)
     finish({"windows": start_table(windows, "staged_windows", AGGREGATES, base, options)})
+
+
+def compact_staged(
+    spark: SparkSession,
+    base: str,
+    before: str,
+    options: StreamOptions = StreamOptions(),
+    file_rows: int = 5_000_000,
+) -> dict[str, list[str]]:
+    """Compact the dates before ``before`` of all tables and drop the files replaced.
+
+    To be called between runs of `run_staged`.  Raw events are kept as streamed
+    until the window aggregates have read them.  The dates compacted, by table.
+    """
+    options = replace(options, checkpoints=options.checkpoints or f"{base}/_checkpoints")
+    done = {}
+    for layout in (RAW_EVENTS, AGGREGATES, DEAD_LETTERS):
+        if not exists(spark, f"{base}/{layout.name}"):
+            continue
+        done[layout.name] = compact(spark, base, layout, before, file_rows)
+        readers = ["staged_windows"] if layout is RAW_EVENTS else []
+        vacuum(spark, base, layout, [_checkpoint(r, options, base) for r in readers])
+    return done
