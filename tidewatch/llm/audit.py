@@ -32,37 +32,30 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import table, whole
-from tidewatch.llm.matrix import encode, global_shards, matrix_rows, term_shards
+from tidewatch.llm.matrix import byte_class, encode, global_shards, matrix_rows, term_shards
 from tidewatch.settings import settle
 
 FILTERS = "ABCDE"
-SYMBOLS = "[#$%&*|]"
+#: Bytes counted in each text: capitals, and symbols that fail filter D.
+TALLIES = {"capitals": byte_class(range(65, 91)), "symbols": byte_class(b"#$%&*|")}
 
 
 def document_flags(
     docs: DataFrame, min_words: int = 200, min_distinct: int = 50, max_capitals: int = 3
 ) -> DataFrame:
     """``(doc_id, part, failed)`` of every row; ``failed`` has bit k set if filter k fails."""
-    text = F.col("text")
-    capitals = F.regexp_count(text, F.lit("[A-Z]"))
     given = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("part"), whole().alias("text"))
-    rows = given.select(
-        "text",
-        "doc_id",
-        "part",
-        F.unhex(F.sha2(text, 256)).alias("digest"),
-        (100 * capitals > max_capitals * F.length(text)).alias("c"),
-        text.rlike(SYMBOLS).alias("d"),
-    )
-    shards = term_shards(rows, ["doc_id", "part", "digest", "c", "d"])
+    digest = F.unhex(F.sha2("text", 256))
+    given = given.select("text", "doc_id", "part", digest.alias("digest"), F.length("text").alias("points"))
+    shards = term_shards(given, ["doc_id", "part", "digest", "points"], tallies=TALLIES)
     rows = settle(matrix_rows(global_shards(shards, encode(shards))), "matrix-rows")
     first = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
     first = settle(first.where("n > 1").drop("n"), "first-ids")
     fails = [
         F.col("total") < min_words,
         100 * F.col("nonzero") < min_distinct * F.col("total"),
-        F.col("c"),
-        F.col("d"),
+        100 * F.col("capitals") > max_capitals * F.col("points"),
+        F.col("symbols") > 0,
         F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False)),
     ]
     failed = sum((F.when(f, 1 << k).otherwise(0) for k, f in enumerate(fails)), F.lit(0))

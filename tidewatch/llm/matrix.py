@@ -93,19 +93,28 @@ def one_list(values, kind=None) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def byte_class(codes) -> np.ndarray:
+    """A table of bytes for `term_shards` to count."""
+    return _gaps(codes)
+
+
 def term_shards(
     docs: DataFrame,
     carry: list[str],
     gaps: np.ndarray = BLANKS,
     lower: bool = False,
-    most: int = SHARD_BYTES,
+    most: int | None = None,
+    tallies: dict[str, np.ndarray] | None = None,
 ) -> DataFrame:
     """``(shard, rows, indptr, indices, counts, terms)`` of the column ``text``, settled.
 
-    ``rows`` has the columns ``carry`` of the texts, in order.  With ``lower``, A-Z are
+    ``rows`` has the columns ``carry`` of the texts, in order, and for each of the
+    ``tallies`` how many bytes of its class the text has.  With ``lower``, A-Z are
     lower-cased.
     """
-    carried = T.ArrayType(T.StructType([docs.schema[c] for c in carry]))
+    most, tallies = most or SHARD_BYTES, tallies or {}
+    kept = [docs.schema[c] for c in carry] + [T.StructField(c, T.LongType()) for c in tallies]
+    carried = T.ArrayType(T.StructType(kept))
     schema = T.StructType(
         [
             T.StructField("shard", T.LongType()),
@@ -129,10 +138,14 @@ def term_shards(
                 data, bounds = text_buffer(piece["text"])
                 found = count_terms(letters[data] if lower else data, bounds, gaps, most)
                 terms, indptr, indices, counts = found
+                columns = piece["row"].flatten() + [
+                    pa.array(np.diff(np.searchsorted(np.flatnonzero(c[data]), bounds)), pa.int64())
+                    for c in tallies.values()
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([shard], pa.int64()),
-                        one_list(piece["row"]),
+                        one_list(pa.StructArray.from_arrays(columns, [f.name for f in kept])),
                         one_list(indptr, pa.int32()),
                         one_list(indices, pa.int32()),
                         one_list(counts, pa.int32()),
@@ -149,7 +162,7 @@ def term_shards(
 def encode(shards: DataFrame, keep_terms: bool = False) -> DataFrame:
     """``(shard, code, term_id)``: the number of each local term among all terms, from 0 on.
 
-    Equal terms meet in one partition, sorted, and are counted there; the partitions'
+    Equal terms meet in one partition, side by side, and are counted there; the partitions'
     counts are then added up, so that the numbers have no gaps.  With ``keep_terms``
     there is a column ``term``, set on one row of each term: the dictionary.
     """
@@ -175,7 +188,8 @@ def encode(shards: DataFrame, keep_terms: bool = False) -> DataFrame:
                 columns.append(pa.compute.if_else(pa.array(new), batch["term"], None))
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in schema.split(", ")])
 
-    ranked = entries.repartition("term").sortWithinPartitions("term").mapInArrow(rank, schema)
+    met = entries.repartition("term").sortWithinPartitions(F.xxhash64("term"), "term")
+    ranked = met.mapInArrow(rank, schema)
     return dense_numbers(settle(ranked, "terms"), "part", "rank", "term_id")
 
 
@@ -192,7 +206,8 @@ def global_shards(shards: DataFrame, codes: DataFrame) -> DataFrame:
         for row in shard.to_batches(max_chunksize=1):
             indices = numbers[row["indices"].flatten().to_numpy()]
             sizes = np.diff(row["indptr"].flatten().to_numpy())
-            order = np.lexsort((indices, np.repeat(np.arange(len(sizes)), sizes)))
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.argsort(owner * (indices.max(initial=0) + 1) + indices)
             counts = row["counts"].flatten().to_numpy()[order]
             out.append(
                 pa.RecordBatch.from_arrays(
