@@ -108,6 +108,7 @@ METRICS_SCHEMA = T.StructType(
         T.StructField("batch_ms", T.DoubleType()),
         T.StructField("rows_dropped_late", T.LongType()),
         T.StructField("state_rows", T.LongType()),
+        T.StructField("query_id", T.StringType()),
     ]
 )
 

@@ -11,14 +11,15 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from ..contracts import METRICS_SCHEMA
 
-_TERMINATIONS = "query_id string, at timestamp, exception string"
+ENDINGS = "query_id string, at timestamp, exception string"
 
 
 class ProgressListener(StreamingQueryListener):
     """Collects one small row per micro-batch until they are flushed.
 
-    Register it with ``spark.streams.addListener`` before starting queries.  If
-    nobody flushes, the newest ``keep`` rows are held and older ones forgotten.
+    Register it with ``spark.streams.addListener`` before starting queries, or get
+    the session's own from `progress.watch`.  If nobody flushes, the newest ``keep``
+    rows are held and older ones forgotten; `progress.record_progress` rebuilds those.
     """
 
     def __init__(self, keep: int = 100_000) -> None:
@@ -46,6 +47,7 @@ class ProgressListener(StreamingQueryListener):
                 float((p.durationMs or {}).get("triggerExecution", 0)),
                 sum(int(o.numRowsDroppedByWatermark) for o in operators),
                 sum(int(o.numRowsTotal) for o in operators),
+                str(p.id),
             )
         )
 
@@ -59,13 +61,19 @@ class ProgressListener(StreamingQueryListener):
             sleep(0.05)
         return len(self._endings) >= count
 
+    def take(self, query_ids: set[str]) -> list[tuple]:
+        """The rows of these queries, which are then forgotten; others stay."""
+        rows = [self._batches.popleft() for _ in range(len(self._batches))]
+        self._batches.extend(r for r in rows if r[-1] not in query_ids)
+        return [r for r in rows if r[-1] in query_ids]
+
     def metrics(self, spark: SparkSession) -> DataFrame:
         """The batches seen since the last flush."""
         return spark.createDataFrame(list(self._batches), METRICS_SCHEMA)
 
     def terminations(self, spark: SparkSession) -> DataFrame:
         """The queries that ended, with their exception if any."""
-        return spark.createDataFrame(list(self._endings), _TERMINATIONS)
+        return spark.createDataFrame(list(self._endings), ENDINGS)
 
     def flush(self, spark: SparkSession, path: str) -> int:
         """Append the collected batches to a metrics table and forget them."""

@@ -19,7 +19,15 @@ from ..operators.routing import dead_letter_values
 from ..plans.batch import event_tables
 from ..settings import StreamOptions, session_settings
 from ..sinks.tables import batch_writer
-from .listener import ProgressListener
+from .progress import (
+    METRICS,
+    checkpoints_below,
+    clear_stop,
+    record_endings,
+    record_progress,
+    stop_requested,
+    watch,
+)
 
 OUTPUTS: dict[str, TableLayout] = {
     "raw_events": RAW_EVENTS,
@@ -119,9 +127,14 @@ def start_stream(
 
     Outputs: ``raw_events``, ``aggregates`` and ``dead_letters`` go to tables
     below ``base``, ``dead_letter_bus`` goes out as JSON values.  Checkpoints are
-    kept beside the tables unless ``options`` name another place.
+    kept beside the tables unless ``options`` name another place.  The session's
+    listener is registered, and what the last run left unrecorded is recorded now.
     """
+    spark = records.sparkSession
     options = replace(options, checkpoints=options.checkpoints or f"{base}/_checkpoints")
+    watch(spark)
+    clear_stop(spark, base)
+    keep_progress(spark, base, options)
     tables = event_tables(
         records, bounds=bounds, options=options, pipeline_name=pipeline_name
     )
@@ -148,33 +161,63 @@ def start_stream(
     return queries
 
 
-def finish(queries: dict[str, StreamingQuery]) -> None:
-    """Wait for bounded queries to drain their source; a failure is raised."""
+def keep_progress(spark: SparkSession, base: str, options: StreamOptions = StreamOptions()) -> int:
+    """Bring the metrics table below ``base`` up to date with all its queries' batches."""
+    folder = options.checkpoints or f"{base}/_checkpoints"
+    return record_progress(spark, f"{base}/{METRICS}", checkpoints_below(spark, folder), watch(spark))
+
+
+def finish(
+    queries: dict[str, StreamingQuery],
+    base: str | None = None,
+    options: StreamOptions = StreamOptions(),
+    progress: bool = True,
+) -> None:
+    """Wait for bounded queries to drain their source; a failure is raised.
+
+    With ``base``, all of them end first, and those that failed leave an alert there;
+    with ``progress`` their batches are recorded, too.
+    """
+    failed = None
     for query in queries.values():
-        query.awaitTermination()
+        try:
+            query.awaitTermination()
+        except Exception as failure:
+            if base is None:
+                raise
+            failed = failed or failure
+    if base is not None:
+        spark = SparkSession.active()
+        record_endings(spark, base, queries)
+        if progress:
+            keep_progress(spark, base, options)
+    if failed:
+        raise failed
 
 
 def wait_and_stop(
     spark: SparkSession,
     queries: dict[str, StreamingQuery],
-    listener: ProgressListener | None = None,
-    metrics: str | None = None,
+    base: str | None = None,
+    options: StreamOptions = StreamOptions(),
     every: int = 60,
 ) -> None:
-    """Wait until any query ends, then stop the others, each on its own.
+    """Wait until any query ends or a stop is asked for, then stop the others, each on its own.
 
-    With a ``listener`` and a folder for ``metrics``, its rows are appended there
-    every so many seconds.
+    With ``base``, the batches so far are recorded there every so many seconds, a stop
+    can be asked for (`progress.request_stop`), and queries that failed leave an alert.
     """
-    keep = listener is not None and metrics is not None
     try:
         while not spark.streams.awaitAnyTermination(every):
-            if keep:
-                listener.flush(spark, metrics)
+            if base is not None:
+                keep_progress(spark, base, options)
+                if stop_requested(spark, base):
+                    break
     finally:
         stop(queries)
-        if keep:
-            listener.flush(spark, metrics)
+        if base is not None:
+            keep_progress(spark, base, options)
+            record_endings(spark, base, queries)
 
 
 def stop(queries: dict[str, StreamingQuery]) -> list[str]:

@@ -30,6 +30,7 @@ from ..operators.windows import aggregate_windows
 from ..settings import StreamOptions
 from ..sinks.compaction import compact, retire, vacuum
 from ..sources.compacted import exists
+from .progress import watch
 from .run import _checkpoint, finish, start_partitioned, start_table, start_values
 
 TAGGED = "events_tagged"
@@ -56,11 +57,13 @@ def run_staged(
         squash_copies=True,
         checkpoints=options.checkpoints or f"{base}/_checkpoints",
     )
+    watch(spark)
     judged = tag_events(parse_events(records), bounds).withColumn(
         "is_valid", F.col(REASON).isNull()
     )
     path = f"{base}/{TAGGED}"
-    finish({"judge": start_partitioned(judged, "judge", path, "is_valid", options)})
+    judge = {"judge": start_partitioned(judged, "judge", path, "is_valid", options)}
+    finish(judge, base, options, progress=False)
 
     tagged = spark.readStream.schema(judged.schema).parquet(path)
     kept = [f for f in WIRE_FIELDS if f != "timestamp"]
@@ -73,7 +76,8 @@ def run_staged(
             "letters": start_table(letters, "staged_letters", DEAD_LETTERS, base, options),
             "bus": start_values(dead_letter_values(letters), "staged_bus", options,
                                 path=f"{base}/dead_letter_values"),
-        }
+        },
+        base, options, progress=False,
     )
 
     retire(spark, path, [_checkpoint(r, options, base) for r in TAGGED_READERS])
@@ -86,7 +90,8 @@ def run_staged(
         .withWatermark("event_ts", options.watermark)
     )
     windows = aggregate_windows(events, options.window, options.slide)
-    finish({"windows": start_table(windows, "staged_windows", AGGREGATES, base, options)})
+    # the last call also records the batches of all stages, and those a failed run left
+    finish({"windows": start_table(windows, "staged_windows", AGGREGATES, base, options)}, base, options)
 
 
 def compact_staged(
