@@ -14,8 +14,9 @@ block of items the matrix is narrowed to their terms and every shard gets an ind
   the documents of a block in full unless the bound is below the score that ``k``
   documents are known to reach.
 
-**What is known beforehand.**  First each item adds up its rarest terms alone; the k-th
-best such sum over all shards is reached by k documents, so it is a threshold.  Terms
+**What is known beforehand.**  First each item adds up its rarest terms alone and scores
+the documents that are best by them in full; the k-th best of these scores over all
+shards is reached by k documents, so it is a threshold.  Terms
 whose greatest contributions in a shard together stay below it cannot carry a document
 there: their lists are not entered (and so not clustered); they still count in bounds
 and scores.  Words as common as "the" thus cost a coordinate, not a list of everything.
@@ -52,8 +53,8 @@ K = 50
 BLOCK, SKETCH, MAX_TERMS = 32, 32, 200_000
 
 
-def item_blocks(items: DataFrame, max_terms: int = MAX_TERMS) -> tuple[DataFrame, int]:
-    """``(block, item_id, terms)`` of items with terms, settled, and the number of blocks."""
+def item_blocks(items: DataFrame, max_terms: int = MAX_TERMS) -> tuple[DataFrame, list[int]]:
+    """``(block, item_id, terms)`` of items with terms, settled, and the blocks that have some."""
     terms = F.explode(F.regexp_extract_all(ascii_lower(whole()), F.lit(TERM), F.lit(0)))
     per_item = items.select("item_id", terms.alias("term")).groupBy("item_id")
     per_item = settle(per_item.agg(F.array_sort(F.collect_set("term")).alias("terms")), "items")
@@ -61,9 +62,9 @@ def item_blocks(items: DataFrame, max_terms: int = MAX_TERMS) -> tuple[DataFrame
     blocks = math.ceil(n_terms / max_terms)
     while True:
         dealt = per_item.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(max(blocks, 1))))
-        most = dealt.groupBy("block").agg(F.sum(F.size("terms")).alias("n")).agg(F.max("n")).first()[0]
-        if (most or 0) <= 2 * max_terms or blocks >= 4 * n_items:
-            return dealt, blocks
+        sizes = dealt.groupBy("block").agg(F.sum(F.size("terms")).alias("n")).collect()
+        if max((r.n for r in sizes), default=0) <= 2 * max_terms or blocks >= 4 * n_items:
+            return dealt, sorted(r.block for r in sizes)
         blocks *= 2
 
 
@@ -150,6 +151,13 @@ class _Shard:
         for i in range(len(self.item_ptr) - 1):
             yield i, self.item_terms[self.item_ptr[i] : self.item_ptr[i + 1]]
 
+    def scores(self, docs: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Full scores of documents; ``weights`` holds those of the item's terms, else 0."""
+        at, owner = _entries(self.indptr, docs)
+        sums = np.concatenate(([0], np.cumsum(weights[self.terms[at]] * self.saturation[at])))
+        ends = np.searchsorted(owner, np.arange(len(docs) + 1))
+        return sums[ends[1:]] - sums[ends[:-1]]
+
     def entry_terms(self, terms: np.ndarray, least: int) -> np.ndarray:
         """Terms one of which every document with a score of ``least`` or more has: all
         but those whose greatest contributions add up to less."""
@@ -159,15 +167,9 @@ class _Shard:
         return terms[(np.cumsum(most) >= least) & (most > 0)]
 
 
-def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Places of all that may be among the ``k`` best: ties of the last one included."""
-    if len(scores) <= k:
-        return ids
-    return ids[scores >= np.partition(scores, -k)[-k]]
-
-
-def first_sums(asked: DataFrame, k: int) -> DataFrame:
-    """``(item, score)``: in each shard the ``k`` best sums over the rarest terms of each item."""
+def first_scores(asked: DataFrame, k: int) -> DataFrame:
+    """``(item, score)``: each shard's ``k`` best full scores among the documents that are
+    best by the item's rarest terms alone."""
 
     def add(batches):
         for batch in batches:
@@ -175,18 +177,23 @@ def first_sums(asked: DataFrame, k: int) -> DataFrame:
                 shard = _Shard(batch, row)
                 (held,) = _lists(batch, row, "held")
                 few = 64 * k + batch["n_docs"][row].as_py() // 16
+                weights = np.zeros(len(held), np.int64)
                 items, best = [], []
                 for i, terms in shard.items():
-                    terms = terms[np.argsort(held[terms], kind="stable")]
-                    terms = terms[np.cumsum(held[terms]) <= few + held[terms[0]]]
+                    rare = terms[np.argsort(held[terms], kind="stable")]
+                    rare = rare[np.cumsum(held[rare]) <= few + held[rare[0]]]
                     sums = np.zeros(shard.n, np.int64)
-                    for t in terms.tolist():
+                    for t in rare.tolist():
                         at = shard.by_term[shard.starts[t] : shard.starts[t + 1]]
                         sums[shard.doc_of[at]] += shard.weights[t] * shard.saturation[at]
-                    sums = sums[sums > 0]
-                    sums = np.sort(sums)[-k:]
-                    items.append(np.full(len(sums), i))
-                    best.append(sums)
+                    docs = np.flatnonzero(sums)
+                    if len(docs) > 2 * k:
+                        docs = docs[np.argpartition(sums[docs], -2 * k)[-2 * k :]]
+                    weights[terms] = shard.weights[terms]
+                    scores = np.sort(shard.scores(docs, weights))[-k:]
+                    weights[terms] = 0
+                    items.append(np.full(len(scores), i))
+                    best.append(scores)
                 columns = [pa.array(np.concatenate(x), pa.int64()) for x in (items, best)]
                 yield pa.RecordBatch.from_arrays(columns, ["item", "score"])
 
@@ -325,11 +332,8 @@ def _search(batch: pa.RecordBatch, row: int, k: int) -> pa.RecordBatch:
             if not len(new):
                 continue
             seen[new] = True
-            at, owner = _entries(shard.indptr, new)
-            sums = np.concatenate(([0], np.cumsum(weights[shard.terms[at]] * shard.saturation[at])))
-            ends = np.searchsorted(owner, np.arange(len(new) + 1))
             docs.append(new)
-            scores.append(sums[ends[1:]] - sums[ends[:-1]])
+            scores.append(shard.scores(new, weights))
             have = np.concatenate(scores)
             if len(have) >= k:
                 floor = max(floor, int(np.partition(have, -k)[-k]))
@@ -394,7 +398,7 @@ def _search_block(shards: DataFrame, totals: tuple, items: DataFrame, k: int, bl
         "*", F.lit(n_docs).cast("long").alias("n_docs"), F.lit(n_terms).cast("long").alias("n_terms")
     )
     asked = settle(asked, "asked")
-    sums = first_sums(_beside(forward.drop("doc_ids"), asked.drop("item_ids")), k)
+    sums = first_scores(_beside(forward.drop("doc_ids"), asked.drop("item_ids")), k)
     by_score = Window.partitionBy("item").orderBy(F.desc("score"))
     least = sums.withColumn("r", F.row_number().over(by_score)).where(F.col("r") == k)
     each = asked.select(F.posexplode("item_ids").alias("item", "item_id"))
@@ -419,7 +423,7 @@ def search(
     ).first()
     totals = (totals[0] or 0, max(totals[1] or 0, 1))
     parts = [
-        _search_block(shards, totals, asked.where(F.col("block") == b), k, block) for b in range(blocks)
+        _search_block(shards, totals, asked.where(F.col("block") == b), k, block) for b in blocks
     ]
     if not parts:
         empty = items.select("item_id").limit(0)
