@@ -485,6 +485,9 @@ ORACLES: dict[str, str] = {
         SELECT original_message, error_reason, pipeline_name FROM letters"""),
     "metrics_progress": _sql(_WIRE, """
         SELECT 'dead_letters' AS query, count(*) AS input_rows FROM wire"""),
+    "stream_endings": _sql(_TAGGED + _LETTERS, """
+        SELECT 'Streaming query terminated' AS title, 'critical' AS severity,
+          'raw_events' AS query, true AS reason_given, count(*) AS letters FROM letters"""),
     "staged_tables": _sql(_RAW + _AGGREGATES + _LETTERS, """
         SELECT 'raw events' AS "table", count(*) AS rows FROM raw
         UNION ALL SELECT 'aggregates', count(*) FROM aggregates
@@ -496,6 +499,8 @@ ORACLES: dict[str, str] = {
 ORACLES |= {
     "stream_restart": ORACLES["stream_raw_events"],
     "stream_foreach_batch": ORACLES["stream_raw_events"],
+    "compacted_raw_events": ORACLES["stream_raw_events"],
+    "compacted_windows": ORACLES["stream_agg_append"],
     "table_rows_raw": ORACLES["stream_raw_events"],
     "table_rows_windows": ORACLES["stream_agg_append"],
     "table_rows_letters": ORACLES["stream_dlq"],

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,8 +31,9 @@ from tidewatch.settings import StreamOptions, new_folder, settle, use_utc
 from tidewatch.sinks.tables import write_report, write_tables
 from tidewatch.sources.records import as_records, read_table, stream_records
 from tidewatch.streaming.listener import ProgressListener
+from tidewatch.streaming.progress import query_id, read_alerts
 from tidewatch.streaming.run import finish, start_stream
-from tidewatch.streaming.staged import run_staged
+from tidewatch.streaming.staged import compact_staged, run_staged
 
 from .feed import AS_OF, bus_records
 
@@ -560,7 +562,7 @@ def alert_cooldown(spark, sf_dir):
 
 
 def _pieces(spark: SparkSession, sf_dir: str, repeats: bool) -> list[DataFrame]:
-    """The feed in three files by time.
+    """The feed in three pieces by time.
 
     With ``repeats`` the last one also brings some valid events of the first
     again, and a new one of that time: far behind the watermark, none may count.
@@ -582,37 +584,40 @@ def _pieces(spark: SparkSession, sf_dir: str, repeats: bool) -> list[DataFrame]:
 
 
 def _append(piece: DataFrame, feed: str) -> None:
-    piece.coalesce(1).write.mode("append").parquet(feed)
+    """Land a piece as a file per core: what one micro-batch takes in."""
+    cores = piece.sparkSession.sparkContext.defaultParallelism
+    piece.repartition(cores).write.mode("append").parquet(feed)
+
+
+def _after_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A last record far after all others: it moves the watermark past every window."""
+    after = F.to_json(
+        F.struct(
+            F.lit("after-all").alias("event_id"), F.lit("-").alias("symbol"),
+            F.lit(1.0).alias("price"), F.lit(0).alias("volume"),
+            F.date_format(F.col("last") + F.expr("interval 2 days"),
+                          "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
+        )
+    )
+    newest = records(spark, sf_dir).agg(F.max("timestamp").alias("last")).select(after.alias("value"))
+    return as_records(newest).select(*KAFKA_SCHEMA.fieldNames())
 
 
 def _land(spark: SparkSession, sf_dir: str, last_record: bool, repeats: bool = True) -> str:
-    """Land the feed as files, if wanted with a last record far after all others.
-
-    That record moves the watermark past every window.
-    """
+    """Land the feed as files, if wanted with a last record far after all others."""
     feed = new_folder(spark, "feed")
-    landed = records(spark, sf_dir)
     for piece in _pieces(spark, sf_dir, repeats):
         _append(piece, feed)
     if last_record:
-        after = F.to_json(
-            F.struct(
-                F.lit("after-all").alias("event_id"), F.lit("-").alias("symbol"),
-                F.lit(1.0).alias("price"), F.lit(0).alias("volume"),
-                F.date_format(F.col("last") + F.expr("interval 2 days"),
-                              "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
-            )
-        )
-        newest = landed.agg(F.max("timestamp").alias("last")).select(after.alias("value"))
-        _append(as_records(newest).select(*KAFKA_SCHEMA.fieldNames()), feed)
+        _append(_after_all(spark, sf_dir), feed)
     return feed
 
 
 def _stream_options(spark: SparkSession, **options) -> StreamOptions:
-    """Take in all there is, a file per batch, with a state partition per core."""
+    """Take in all there is, a piece per batch, with a state partition per core."""
     cores = spark.sparkContext.defaultParallelism
     return StreamOptions(
-        available_now=True, max_files_per_trigger=1, shuffle_partitions=cores, **options
+        available_now=True, max_files_per_trigger=cores, shuffle_partitions=cores, **options
     )
 
 
@@ -626,7 +631,7 @@ def _streamed(spark: SparkSession, sf_dir: str, output: str, **options) -> str:
 
 
 def _restarted(spark: SparkSession, sf_dir: str, sink: str) -> str:
-    """Run raw events again after each landed file, on the default checkpoints."""
+    """Run raw events again after each landed piece, on the default checkpoints."""
     base, feed, opts = new_folder(spark, "out"), new_folder(spark, "feed"), _stream_options(spark)
     for piece in _pieces(spark, sf_dir, True):
         _append(piece, feed)
@@ -684,12 +689,23 @@ def stream_dlq_bus(spark, sf_dir):
     )
 
 
+def _staged(spark: SparkSession, sf_dir: str, compacted: bool = False) -> str:
+    """Run the staged job after each landed piece, with repeats and late rows in the last,
+    and once more for a record far after all others; if asked, compact closed dates in
+    between.  Where it wrote to."""
+    base, feed, opts = new_folder(spark, "out"), new_folder(spark, "feed"), _stream_options(spark)
+    for piece in [*_pieces(spark, sf_dir, True), _after_all(spark, sf_dir)]:
+        _append(piece, feed)
+        run_staged(stream_records(spark, feed, options=opts), base, opts)
+        if compacted:
+            newest = read_table(spark, base, "events_raw").agg(F.max("event_date")).first()[0]
+            compact_staged(spark, base, str(newest), opts)
+    return base
+
+
 @query
 def staged_tables(spark, sf_dir):
-    base = new_folder(spark, "out")
-    opts = _stream_options(spark)
-    feed = _land(spark, sf_dir, True, repeats=False)
-    run_staged(stream_records(spark, feed, options=opts), base, opts)
+    base = _staged(spark, sf_dir)
     windows = read_table(spark, base, "events_aggregates_1m")
     raw = read_table(spark, base, "events_raw").filter(F.col("symbol") != "-")
     counts = views.row_counts(
@@ -700,14 +716,49 @@ def staged_tables(spark, sf_dir):
     return counts.unionByName(events.select(F.lit("events in windows").alias("table"), "rows"))
 
 
+@query
+def compacted_raw_events(spark, sf_dir):
+    """Raw events of the staged job, most of their dates compacted and their files dropped."""
+    raw = read_table(spark, _staged(spark, sf_dir, compacted=True), "events_raw")
+    return plain(raw.filter(F.col("symbol") != "-").drop("processing_time"))
+
+
+@query
+def compacted_windows(spark, sf_dir):
+    base = _staged(spark, sf_dir, compacted=True)
+    return plain(read_table(spark, base, "events_aggregates_1m").drop("processing_time"))
+
+
 @query
 def metrics_progress(spark, sf_dir):
     listener = ProgressListener()
     spark.streams.addListener(listener)
     try:
-        _streamed(spark, sf_dir, "dead_letters")
-        listener.wait_for_endings(1)
+        base = _streamed(spark, sf_dir, "dead_letters")
+        ran = query_id(spark, f"{base}/_checkpoints/dead_letters")
+        listener.wait_for_endings({ran})
     finally:
         spark.streams.removeListener(listener)
-    metrics = listener.metrics(spark)
+    metrics = listener.metrics(spark).where(F.col("query_id") == ran)
     return metrics.groupBy("query").agg(F.sum("num_input_rows").alias("input_rows"))
+
+
+@query
+def stream_endings(spark, sf_dir):
+    """Two queries over the feed, one of which fails: what the job leaves as alert rows."""
+    base, opts = new_folder(spark, "out"), _stream_options(spark)
+    feed = stream_records(spark, _land(spark, sf_dir, False, False), options=opts)
+    queries = start_stream(feed, base, opts, outputs=("dead_letters",))
+    broken = feed.withColumn("value", F.raise_error(F.lit("disk on fire")).cast("binary"))
+    queries |= start_stream(broken, base, opts, outputs=("raw_events",))
+    try:
+        finish(queries, base, opts)
+    except StreamingQueryException:
+        pass  # the alert row tells
+    letters = read_table(spark, base, "dead_letter_events").agg(F.count("*").alias("letters"))
+    told = read_alerts(spark, base).select(
+        "title", "severity",
+        F.regexp_extract("message", "^Query ([a-z_]+) failed", 1).alias("query"),
+        F.col("message").contains("disk on fire").alias("reason_given"),
+    )
+    return told.join(F.broadcast(letters))

@@ -61,7 +61,7 @@ def test_a_driver_lost_between_two_flushes_loses_no_batch(spark, feed, tmp_path)
     metrics = read_progress(spark, base)
     got = batches(metrics)
     for query in outputs:
-        logs = batches(logged_batches(spark, query, f"{base}/_checkpoints/{query}"))
+        logs = batches(logged_batches(spark, {query: f"{base}/_checkpoints/{query}"}))
         assert [b for b in got if b[0] == query] == logs
         assert {("dead_letters", k) for k in range(5)} <= set(got)
     assert metrics.where("at IS NULL OR batch_ms IS NULL OR query_id IS NULL").count() == 0
@@ -92,7 +92,7 @@ def test_kafka_offsets_count_rows(spark, tmp_path):
         (tmp_path / "commits" / str(n)).write_text('v1\n{"nextBatchWatermarkMs":0}')
     (tmp_path / "offsets" / "3").write_text(head + '{"events":{"0":99,"1":9}}')
     (tmp_path / "metadata").write_text('{"id":"abc"}')
-    rows = logged_batches(spark, "q", str(tmp_path)).orderBy("batch_id").collect()
+    rows = logged_batches(spark, {"q": str(tmp_path)}).orderBy("batch_id").collect()
     assert [(r.batch_id, r.num_input_rows, r.query_id) for r in rows] == [(0, None, "abc"), (1, 8, "abc"), (2, 0, "abc")]
 
 

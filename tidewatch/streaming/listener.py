@@ -54,12 +54,13 @@ class ProgressListener(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:  # noqa: N802 - Spark's name
         self._endings.append((str(event.id), datetime.now().astimezone(), event.exception))
 
-    def wait_for_endings(self, count: int, seconds: float = 60.0) -> bool:
-        """Wait until ``count`` queries reported their end; events arrive with a delay."""
+    def wait_for_endings(self, query_ids: set[str], seconds: float = 60.0) -> bool:
+        """Wait until these queries reported their end; events arrive with a delay, also
+        those of queries that ended before the listener was registered."""
         limit = monotonic() + seconds
-        while len(self._endings) < count and monotonic() < limit:
+        while not (done := query_ids <= {e[0] for e in self._endings}) and monotonic() < limit:
             sleep(0.05)
-        return len(self._endings) >= count
+        return done
 
     def take(self, query_ids: set[str]) -> list[tuple]:
         """The rows of these queries, which are then forgotten; others stay."""

@@ -14,9 +14,8 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timezone
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -54,45 +53,57 @@ def checkpoints_below(spark: SparkSession, folder: str) -> dict[str, str]:
     return {n: f"{folder}/{n}" for n in sorted(names) if exists(spark, f"{folder}/{n}/metadata")}
 
 
-def logged_batches(spark: SparkSession, query: str, checkpoint: str) -> DataFrame:
+def logged_batches(spark: SparkSession, checkpoints: dict[str, str]) -> DataFrame:
     """A metrics row for every committed batch whose logs are still there.
 
+    ``checkpoints`` name the checkpoint of each query; the folders have different names.
     ``at`` is when the batch was planned and ``batch_ms`` how long it then took to its
     commit.  Rows read are known for Kafka, whose offsets count them; figures that no
     log has are NULL.
     """
-    if not exists(spark, f"{checkpoint}/commits"):
+    known = {
+        path.rpartition("/")[2]: (name, query_id(spark, path))
+        for name, path in checkpoints.items()
+        if exists(spark, f"{path}/commits") and exists(spark, f"{path}/metadata")
+    }
+    if not known:
         return spark.createDataFrame([], METRICS_SCHEMA)
-
-    def log(kind: str) -> DataFrame:
-        name = F.col("_metadata.file_name")
-        files = spark.read.text(f"{checkpoint}/{kind}", wholetext=True)
-        numbered = files.select(
-            F.when(name.rlike("^[0-9]+$"), name.cast("long")).alias("batch_id"),
-            F.split("value", "\n").alias("lines"),
-            F.col("_metadata.file_modification_time").alias("written"),
-        )
-        return numbered.where("batch_id IS NOT NULL")
-
-    planned = log("offsets").select(
-        "batch_id",
-        F.get_json_object(F.col("lines")[1], "$.batchTimestampMs").cast("long").alias("planned_ms"),
-        _bus_offsets(F.col("lines")).alias("offsets"),
+    logs = [f"{p}/{kind}" for p in checkpoints.values() for kind in ("offsets", "commits")
+            if p.rpartition("/")[2] in known]
+    place = F.regexp_extract("path", "([^/]+)/(offsets|commits)/([0-9]+)$", 0)
+    files = spark.read.text(logs, wholetext=True).select(
+        F.split("value", "\n").alias("lines"),
+        F.col("_metadata.file_modification_time").alias("written"),
+        F.col("_metadata.file_path").alias("path"),
     )
-    before = planned.select((F.col("batch_id") + 1).alias("batch_id"), F.col("offsets").alias("since"))
-    committed = log("commits").select("batch_id", "written")
-    took = F.unix_millis("written") - F.col("planned_ms")
-    known = {
-        "query": F.lit(query),
+    files = files.withColumn("place", F.split(place, "/")).where("size(place) = 3").select(
+        F.col("place")[0].alias("folder"),
+        F.col("place")[2].cast("long").alias("batch_id"),
+        (F.col("place")[1] == "offsets").alias("planned"),
+        "lines",
+        "written",
+    )
+    planned_ms = F.get_json_object(F.col("lines")[1], "$.batchTimestampMs").cast("long")
+    batches = files.groupBy("folder", "batch_id").agg(
+        F.max(F.when(F.col("planned"), planned_ms)).alias("planned_ms"),
+        F.max(F.when(F.col("planned"), _bus_offsets(F.col("lines")))).alias("offsets"),
+        F.max(F.when(~F.col("planned"), F.col("written"))).alias("committed"),
+    )
+    # a batch or a hundred of each query
+    before = F.lag("offsets").over(Window.partitionBy("folder").orderBy("batch_id"))
+    names = spark.createDataFrame([(f, *k) for f, k in known.items()], "folder string, query string, query_id string")
+    rows = batches.withColumn("read", F.col("offsets") - before).join(F.broadcast(names), "folder")
+    took = F.unix_millis("committed") - F.col("planned_ms")
+    figures = {
+        "query": F.col("query"),
         "batch_id": F.col("batch_id"),
         "at": F.timestamp_millis("planned_ms"),
-        "num_input_rows": (F.col("offsets") - F.col("since")).cast("long"),
+        "num_input_rows": F.col("read"),
         "batch_ms": F.greatest(took, F.lit(0)).cast("double"),
-        "query_id": F.lit(query_id(spark, checkpoint)),
+        "query_id": F.col("query_id"),
     }
-    rows = committed.join(planned, "batch_id").join(before, "batch_id", "left")
-    return rows.select(
-        *(known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in METRICS_SCHEMA)
+    return rows.where("committed IS NOT NULL AND planned_ms IS NOT NULL").select(
+        *(figures.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in METRICS_SCHEMA)
     )
 
 
@@ -128,7 +139,7 @@ def record_progress(
         return 0
     seen = listener.take(set(ids)) if listener else []
     live = spark.createDataFrame(seen, METRICS_SCHEMA).dropDuplicates(["query_id", "batch_id"])
-    rebuilt = reduce(DataFrame.unionByName, [logged_batches(spark, q, checkpoints[q]) for q in ids.values()])
+    rebuilt = logged_batches(spark, {q: checkpoints[q] for q in ids.values()})
     key = ["query_id", "batch_id"]
     new = live.unionByName(rebuilt.join(live.select(*key), key, "left_anti").select(*live.columns))
     if exists(spark, path):
