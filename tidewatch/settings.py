@@ -72,6 +72,12 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def size_in_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of ``df``; of a settled table, its files by their
+    compression factor (``spark.sql.sources.fileCompressionFactor``)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 @dataclass(frozen=True)
 class StreamOptions:
     """How a stream runs; the defaults suit a 30-second micro-batch."""
