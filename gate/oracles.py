@@ -485,6 +485,7 @@ ORACLES: dict[str, str] = {
         SELECT original_message, error_reason, pipeline_name FROM letters"""),
     "metrics_progress": _sql(_WIRE, """
         SELECT 'dead_letters' AS query, count(*) AS input_rows FROM wire"""),
+    "stream_commits": _sql(_RAW, "SELECT count(*) AS rows, 1::BIGINT AS files, false AS falls FROM raw"),
     "stream_endings": _sql(_TAGGED + _LETTERS, """
         SELECT 'Streaming query terminated' AS title, 'critical' AS severity,
           'raw_events' AS query, true AS reason_given, count(*) AS letters FROM letters"""),

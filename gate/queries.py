@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.contracts import KAFKA_SCHEMA, WIRE_FIELDS, AlertThresholds
+from tidewatch.contracts import KAFKA_SCHEMA, RAW_EVENTS, WIRE_FIELDS, AlertThresholds
 from tidewatch.functions.enrich import price_band
 from tidewatch.functions.parse import decode_records, event_json, parse_events
 from tidewatch.functions.rules import all_failures, split_reason, strict_failures
@@ -28,7 +28,7 @@ from tidewatch.operators.windows import aggregate_windows
 from tidewatch.plans import alerts, quality, views
 from tidewatch.plans.batch import EventTables, event_tables
 from tidewatch.settings import StreamOptions, new_folder, settle, use_utc
-from tidewatch.sinks.tables import write_report, write_tables
+from tidewatch.sinks.tables import read_commits, write_report, write_tables
 from tidewatch.sources.records import as_records, read_table, stream_records
 from tidewatch.streaming.listener import ProgressListener
 from tidewatch.streaming.progress import query_id, read_alerts
@@ -668,6 +668,24 @@ def stream_foreach_batch(spark, sf_dir):
     return plain(raw.drop("processing_time"))
 
 
+@query
+def stream_commits(spark, sf_dir):
+    """What the per-batch writer has left: logged rows, files of a batch and date, their order."""
+    base = _restarted(spark, sf_dir, "table")
+    logged = read_commits(spark, base, RAW_EVENTS)
+    rows = spark.read.parquet(f"{base}/{RAW_EVENTS.name}").select(
+        "query_id", "batch_id", "event_date", F.struct("symbol", "exchange").alias("cluster"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"),
+    )
+    before = F.lag("cluster").over(Window.partitionBy("file").orderBy("at"))
+    files = rows.withColumn("falls", F.coalesce(before > F.col("cluster"), F.lit(False))).groupBy(
+        "query_id", "batch_id", "event_date"
+    ).agg(F.count_distinct("file").alias("files"), F.max("falls").alias("falls"))
+    return logged.agg(F.sum("rows").alias("rows")).join(
+        files.agg(F.max("files").alias("files"), F.max("falls").alias("falls"))
+    )
+
+
 @query
 def stream_agg_append(spark, sf_dir):
     base = _streamed(spark, sf_dir, "aggregates")

@@ -11,6 +11,7 @@ from tidewatch.sinks.tables import (
     append_table,
     batch_writer,
     ensure_table,
+    read_commits,
     write_report,
     write_tables,
 )
@@ -120,7 +121,29 @@ def test_batch_writer_may_repeat_a_batch(spark, bus, event, tmp_path):
     write = batch_writer("table", str(tmp_path), RAW_EVENTS)
     for batch_id in (0, 1, 1):
         write(raw, batch_id)
+    write(raw.limit(0), 2)
     assert spark.read.parquet(f"{tmp_path}/events_raw").count() == 4
+    logged = read_commits(spark, str(tmp_path), RAW_EVENTS).orderBy("batch_id").collect()
+    assert [(r.query_id, r.batch_id, r.rows) for r in logged] == [("none", 0, 2), ("none", 1, 2), ("none", 2, 0)]
+    assert not (tmp_path / "events_raw" / "query_id=none" / "batch_id=2").exists()
+
+
+def test_batch_writer_clusters_and_creates_its_table(spark, bus, event, tmp_path):
+    rows = [event(event_id=str(i), symbol=f"S{i * 7 % 20:02d}") for i in range(40)]
+    raw = event_tables(bus(*rows)).raw_events
+    write = batch_writer("table", str(tmp_path), RAW_EVENTS, table="events_by_batch", file_rows=10)
+    write(raw, 0)
+    assert spark.catalog.tableExists("events_by_batch")
+    files = sorted((tmp_path / "events_raw").rglob("*.parquet"))
+    assert len(files) == 4
+    spans = []
+    for f in files:
+        symbols = [r.symbol for r in spark.read.parquet(str(f)).collect()]
+        assert symbols == sorted(symbols)
+        spans.append((symbols[0], symbols[-1]))
+    spans.sort()
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    spark.sql("DROP TABLE events_by_batch")
 
 
 def test_per_batch_sinks_in_a_stream(spark, feed, tmp_path, capsys):

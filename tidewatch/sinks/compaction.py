@@ -31,6 +31,7 @@ from ..sources.compacted import (
     stragglers,
     swap_manifest,
 )
+from .tables import clustered
 
 
 def compact(
@@ -62,7 +63,8 @@ def compact(
         rows = rows.unionByName(old.where(date.isin(*held)))
     generation = f"generation-{uuid.uuid4().hex}"
     path = f"{compaction_folder(base, layout)}/{generation}"
-    _clustered(rows, layout, file_rows).write.partitionBy(layout.partition_by).parquet(path)
+    files_now = max(1, math.ceil(rows.count() / file_rows))
+    clustered(rows, layout, files_now).write.partitionBy(layout.partition_by).parquet(path)
     names = [(f.rpartition("/")[2],) for f in new]
     spark.createDataFrame(names, "name string").coalesce(1).write.parquet(f"{path}-replaced")
     for d in due:
@@ -72,13 +74,6 @@ def compact(
     return due
 
 
-def _clustered(rows: DataFrame, layout: TableLayout, file_rows: int) -> DataFrame:
-    order = [layout.partition_by, *layout.cluster_by]
-    tail = [F.col(c) for c in layout.spread_by] or [F.xxhash64(*rows.columns)]
-    parts = max(1, math.ceil(rows.count() / file_rows))
-    return rows.repartitionByRange(parts, *order, *tail).sortWithinPartitions(*order)
-
-
 def consumed(spark: SparkSession, checkpoint: str) -> DataFrame:
     """``(path)`` of the source files that a stream over files has committed."""
     commits, offsets = f"{checkpoint}/commits", f"{checkpoint}/offsets"

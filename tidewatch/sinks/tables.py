@@ -54,8 +54,22 @@ def append_table(df: DataFrame, base: str, layout: TableLayout, fmt: str = "parq
     writer.save(f"{base}/{layout.name}")
 
 
+def clustered(df: DataFrame, layout: TableLayout, files: int) -> DataFrame:
+    """Rows in ``files`` sorted ranges over date and cluster columns, with a tail (of its
+    own or a hash of the row) that keeps a hot value splittable."""
+    order = [layout.partition_by, *layout.cluster_by]
+    tail = [F.col(c) for c in layout.spread_by] or [F.xxhash64(*df.columns)]
+    return df.repartitionByRange(files, *order, *tail).sortWithinPartitions(*order)
+
+
 def parquet_batches(
-    base: str, layout: TableLayout, fmt: str = "parquet", checkpoint: str | None = None, **options
+    base: str,
+    layout: TableLayout,
+    fmt: str = "parquet",
+    checkpoint: str | None = None,
+    table: str | None = None,
+    file_rows: int = 1_000_000,
+    **options,
 ) -> BatchWriter:
     """A per-batch writer that may be run again for the same batch.
 
@@ -63,6 +77,11 @@ def parquet_batches(
     it whole, so a batch repeated after a failure leaves the same rows, not twice
     as many.  The query's id is kept in its checkpoint: a query with another
     checkpoint counts from batch 0 again, but in folders of its own.
+
+    A batch is clustered into a file per ``file_rows`` rows; an empty one writes
+    none.  With ``table`` the table of that name is created over ``base`` if need be.
+    Last of all the batch is entered in the log of commits (`read_commits`), again
+    under its own name: rows without an entry are of a batch that will be repeated.
     """
     known: list[str] = []
 
@@ -73,15 +92,37 @@ def parquet_batches(
         return known[0]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        writer = batch.write.format(fmt).options(**options).mode("overwrite")
-        if layout.partition_by in batch.columns:
-            writer = writer.partitionBy(layout.partition_by)
-        folder = f"query_id={query_id(batch.sparkSession)}/batch_id={batch_id}"
-        writer.save(f"{base}/{layout.name}/{folder}")
+        spark = batch.sparkSession
+        if table:
+            ensure_table(spark, layout, base, table)
+        place = f"query_id={query_id(spark)}/batch_id={batch_id}"
+        batch = batch.persist()  # counted, sampled and written, but computed once
+        try:
+            rows = batch.count()
+            if rows:
+                files = -(-rows // file_rows)
+                writer = clustered(batch, layout, files).write.format(fmt).options(**options).mode("overwrite")
+                if layout.partition_by in batch.columns:
+                    writer = writer.partitionBy(layout.partition_by)
+                writer.save(f"{base}/{layout.name}/{place}")
+        finally:
+            batch.unpersist()
+        entry = spark.range(1).select(F.lit(rows).cast("long").alias("rows"), F.current_timestamp().alias("at"))
+        entry.coalesce(1).write.mode("overwrite").parquet(f"{_commits(base, layout)}/{place}")
 
     return write
 
 
+def _commits(base: str, layout: TableLayout) -> str:
+    return f"{base}/_commits/{layout.name}"
+
+
+def read_commits(spark: SparkSession, base: str, layout: TableLayout) -> DataFrame:
+    """``(query_id, batch_id, rows, at)`` of every batch a per-batch writer has finished."""
+    schema = "rows long, at timestamp, query_id string, batch_id long"
+    return spark.read.schema(schema).parquet(_commits(base, layout)).select("query_id", "batch_id", "rows", "at")
+
+
 def console_batches(base: str, layout: TableLayout, rows: int = 20) -> BatchWriter:
     """A per-batch writer that prints the first rows of every non-empty batch."""
 
