@@ -486,6 +486,23 @@ ORACLES: dict[str, str] = {
     "metrics_progress": _sql(_WIRE, """
         SELECT 'dead_letters' AS query, count(*) AS input_rows FROM wire"""),
     "stream_commits": _sql(_RAW, "SELECT count(*) AS rows, 1::BIGINT AS files, false AS falls FROM raw"),
+    "stream_late_rows": _sql(_TAGGED, """
+        , cuts AS (
+          SELECT a + (b - a) / 3.0 AS c1, a + (b - a) * 2 / 3.0 AS c2
+          FROM (SELECT epoch_us(min(ts)) AS a, epoch_us(max(ts)) AS b FROM wire)
+        ), valid AS (
+          SELECT n, event_id, event_ts, kafka_offset, epoch_us(kafka_timestamp) AS landed
+          FROM tagged WHERE error_reason IS NULL
+        ), reached AS (
+          SELECT epoch_us(max(event_ts)) // 1000 - 120000 AS w FROM valid, cuts WHERE landed < c2
+        ), again AS (
+          SELECT event_id, event_ts, kafka_offset FROM valid, cuts WHERE landed < c1 AND n % 100 = 5
+        ), came AS (
+          SELECT event_id, event_ts FROM again
+          UNION ALL (SELECT 'late-' || event_id, event_ts FROM again ORDER BY kafka_offset LIMIT 1)
+        )
+        SELECT event_id, event_ts, make_timestamp_ms(w) AS watermark FROM came, reached
+        WHERE epoch_us(event_ts) <= w * 1000"""),
     "stream_endings": _sql(_TAGGED + _LETTERS, """
         SELECT 'Streaming query terminated' AS title, 'critical' AS severity,
           'raw_events' AS query, true AS reason_given, count(*) AS letters FROM letters"""),

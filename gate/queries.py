@@ -21,6 +21,7 @@ from tidewatch.operators.routing import (
     dead_letters,
     keyed_values,
     read_letters,
+    split_events,
     tag_events,
 )
 from tidewatch.operators.ticks import tick_change
@@ -30,6 +31,7 @@ from tidewatch.plans.batch import EventTables, event_tables
 from tidewatch.settings import StreamOptions, new_folder, settle, use_utc
 from tidewatch.sinks.tables import read_commits, write_report, write_tables
 from tidewatch.sources.records import as_records, read_table, stream_records
+from tidewatch.streaming.late import read_late_rows, start_late_rows
 from tidewatch.streaming.listener import ProgressListener
 from tidewatch.streaming.progress import query_id, read_alerts
 from tidewatch.streaming.run import finish, start_stream
@@ -761,6 +763,16 @@ def metrics_progress(spark, sf_dir):
     return metrics.groupBy("query").agg(F.sum("num_input_rows").alias("input_rows"))
 
 
+@query
+def stream_late_rows(spark, sf_dir):
+    """Valid events of the feed that come behind the watermark."""
+    base, opts = new_folder(spark, "out"), _stream_options(spark)
+    feed = stream_records(spark, _land(spark, sf_dir, False), options=opts)
+    valid = split_events(tag_events(parse_events(feed)))[0].select("event_id", "event_ts")
+    finish({"late": start_late_rows(valid, base, opts)})
+    return plain(read_late_rows(spark, base, valid.schema))
+
+
 @query
 def stream_endings(spark, sf_dir):
     """Two queries over the feed, one of which fails: what the job leaves as alert rows."""

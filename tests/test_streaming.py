@@ -97,6 +97,24 @@ def test_late_rows_are_dropped_and_counted(spark, feed, tmp_path):
     assert {r.query for r in spark.read.parquet(path).collect()} >= {"aggregates"}
 
 
+def test_late_rows_are_kept_with_their_watermark(spark, feed, tmp_path):
+    from tidewatch.functions.parse import parse_events
+    from tidewatch.streaming.late import read_late_rows, start_late_rows
+
+    folder = feed(("1", 5, {}), ("2", 600, {}))
+    feed(("late", 10, {}), ("edge", 480, {}), ("in-time", 481, {}), ("3", 900, {}))
+    feed(("later", 700, {}))
+    base = str(tmp_path / "out")
+    for _ in range(2):
+        events = parse_events(stream_records(spark, folder, "text", ONCE)).select("event_id", "event_ts")
+        finish({"late": start_late_rows(events, base, ONCE)})
+    rows = read_late_rows(spark, base, events.schema).collect()
+    noon = dt.datetime(2026, 6, 25)
+    assert sorted((r.event_id, (r.watermark - noon).total_seconds()) for r in rows) == [
+        ("edge", 480), ("late", 480), ("later", 780),
+    ]
+
+
 def test_failed_query_is_reported(spark, feed, tmp_path):
     from tidewatch.plans.alerts import termination_alerts
 
