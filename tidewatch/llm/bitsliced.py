@@ -20,7 +20,8 @@ task gets more than a block, whatever id or vector is frequent.
 
 Defined results: vectors that are null or hold a null or non-finite component take no
 part, nor do those with a null id.  Shorter vectors count missing components as zero.
-Values beyond 2**31 quanta, whose scores may exceed a long, are refused with an error.
+Components of 2**63 quanta or more, which are no longs, are refused with an error; so is a
+score among a query's best that does not fit a long, but not a table that has such pairs.
 Rows that repeat an id are candidates each, but never for a query of the same id; a
 repeated query is answered once per distinct vector, ranks running over all rows of
 its id.  Fewer than ``k`` candidates give fewer rows; empty tables give none.
@@ -50,8 +51,8 @@ def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> D
     )
     whole = F.transform(v, lambda x: F.floor(x.cast("double") * scale))
     checked = F.when(
-        F.forall(v, lambda x: F.abs(x.cast("double") * scale) < float(1 << 31)), whole
-    ).otherwise(F.raise_error(F.lit("a component is too large for scores in a long")).cast("array<bigint>"))
+        F.forall(v, lambda x: F.abs(x.cast("double") * scale) < float(1 << 63)), whole
+    ).otherwise(F.raise_error(F.lit("a component is no long")).cast("array<bigint>"))
     rows = vectors.where(v.isNotNull() & F.col(id_col).isNotNull() & fine)
     return rows.select(F.col(id_col).cast("long").alias("id"), checked.alias("v"))
 
@@ -90,7 +91,7 @@ class Index:
     def __init__(self, ids: np.ndarray, values: np.ndarray, most: int):
         order = np.argsort(ids, kind="stable")
         self.ids, values = ids[order], values[order]
-        largest = int(np.abs(values).max(initial=0))
+        largest = max(int(values.max(initial=0)), -int(values.min(initial=0)))
         self.width = (largest * most).bit_length() + 2  # of two's complement sums
         words = -(-len(ids) // 64)
         self.present = _packed(np.ones(len(ids), bool))
@@ -98,7 +99,7 @@ class Index:
         self.slices = np.empty((values.shape[1], self.width, words), np.uint64)
         for d in range(values.shape[1]):
             for s in range(self.width):
-                self.slices[d, s] = _packed((values[:, d] >> min(s, 62)) & 1 == 1)
+                self.slices[d, s] = _packed((values[:, d] >> min(s, 63)) & 1 == 1)
         ones, none = np.full(words, ~np.uint64(0)), np.zeros((self.width, words), np.uint64)
         self.negated = np.stack([_plus(~v, none, ones) for v in self.slices])
 
@@ -146,9 +147,13 @@ class Index:
         # the chosen rows' scores, read from their slices
         word, bit = chosen // 64, (chosen % 64).astype(np.uint64)
         bits = ((total[:, word] >> bit) & np.uint64(1)).astype(np.int64)
-        weights = np.int64(1) << np.arange(len(total), dtype=np.int64)
+        kind = np.int64 if len(total) < 63 else object  # slices beyond a long: whole numbers of any size
+        weights = np.array([1 << s for s in range(len(total))], kind)
         weights[-1] = -weights[-1]
-        return self.ids[chosen], weights @ bits
+        scores = weights @ bits.astype(kind)
+        if len(scores) and not -(1 << 63) <= min(scores) <= max(scores) < 1 << 63:
+            raise OverflowError(f"a score of row {own} does not fit a long")
+        return self.ids[chosen], scores.astype(np.int64)
 
     def _rows(self, bitmap: np.ndarray) -> np.ndarray:
         return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
@@ -160,7 +165,8 @@ def _search(k: int):
         if len(rows) and len(queries):
             values, wanted = _matrix(rows["v"]), _matrix(queries["v"])
             width = min(values.shape[1], wanted.shape[1])  # beyond it one side is zero
-            most = int(np.abs(wanted).sum(axis=1).max())
+            # an upper bound; a sum of longs may exceed one
+            most = int(np.abs(wanted.astype(np.float64)).sum(axis=1).max() * 1.001) + 1
             index = Index(rows["id"].to_numpy(), values[:, :width], most)
             for own, query in zip(queries["id"].to_pylist(), wanted[:, :width]):
                 ids, scores = index.top(query, own, k)
@@ -204,6 +210,7 @@ def op6_bitsliced(spark, sf_dir):
     return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+# The products are of doubles, exact while scores stay below 2**53.
 OP6_SQL = """
 WITH rows AS (
     SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
