@@ -169,3 +169,14 @@ def test_retention_waits_for_the_slowest_reader(spark, tmp_path):
     assert len(files(tmp_path / "in")) == 1
     read("slow", 99)
     assert retire(spark, f"{tmp_path}/in", readers) == 1
+
+
+def test_tables_are_there_before_the_first_batch(spark, feed, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS landing")
+    base, options = str(tmp_path / "out"), StreamOptions(database="landing", available_now=True)
+    run_staged(stream_records(spark, feed(("1", 0, {})), "text"), base, options)
+    for layout in (RAW_EVENTS, AGGREGATES, DEAD_LETTERS):
+        assert spark.catalog.tableExists(f"landing.{layout.name}")
+    spark.sql("MSCK REPAIR TABLE landing.events_raw")
+    assert ids(spark.table("landing.events_raw")) == ["1"]
+    spark.sql("DROP DATABASE landing CASCADE")

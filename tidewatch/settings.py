@@ -92,5 +92,6 @@ class StreamOptions:
     max_offsets_per_trigger: int = 5000
     max_files_per_trigger: int | None = None
     checkpoints: str | None = None
+    database: str | None = None  # where to create missing tables over the output folders
     shuffle_partitions: int | None = None  # of stateful queries; fixed by their first run
     state_store: str = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -18,7 +18,7 @@ from ..contracts import (
 from ..operators.routing import dead_letter_values
 from ..plans.batch import event_tables
 from ..settings import StreamOptions, session_settings
-from ..sinks.tables import batch_writer
+from ..sinks.tables import batch_writer, ensure_table
 from .progress import (
     METRICS,
     checkpoints_below,
@@ -133,6 +133,7 @@ def start_stream(
     spark = records.sparkSession
     options = replace(options, checkpoints=options.checkpoints or f"{base}/_checkpoints")
     watch(spark)
+    ensure_outputs(spark, base, options)
     clear_stop(spark, base)
     keep_progress(spark, base, options)
     tables = event_tables(
@@ -161,6 +162,13 @@ def start_stream(
     return queries
 
 
+def ensure_outputs(spark: SparkSession, base: str, options: StreamOptions) -> None:
+    """Create the tables over ``base`` that ``options.database`` lacks."""
+    if options.database:
+        for layout in OUTPUTS.values():
+            ensure_table(spark, layout, base, f"{options.database}.{layout.name}")
+
+
 def keep_progress(spark: SparkSession, base: str, options: StreamOptions = StreamOptions()) -> int:
     """Bring the metrics table below ``base`` up to date with all its queries' batches."""
     folder = options.checkpoints or f"{base}/_checkpoints"

@@ -31,7 +31,7 @@ from ..settings import StreamOptions
 from ..sinks.compaction import compact, retire, vacuum
 from ..sources.compacted import exists
 from .progress import watch
-from .run import _checkpoint, finish, start_partitioned, start_table, start_values
+from .run import _checkpoint, ensure_outputs, finish, start_partitioned, start_table, start_values
 
 TAGGED = "events_tagged"
 TAGGED_READERS = ("staged_raw", "staged_letters", "staged_bus")
@@ -58,6 +58,7 @@ def run_staged(
         checkpoints=options.checkpoints or f"{base}/_checkpoints",
     )
     watch(spark)
+    ensure_outputs(spark, base, options)
     judged = tag_events(parse_events(records), bounds).withColumn(
         "is_valid", F.col(REASON).isNull()
     )
