@@ -261,7 +261,7 @@ def op9_quality(spark, sf_dir):
     scored = fit_quality(spark, docs, sf_dir).score(docs)
     return scored.select(
         "doc_id",
-        (fold("doc_id", 3) == HELD_OUT).alias("held_out"),
+        F.coalesce(fold("doc_id", 3) == HELD_OUT, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
