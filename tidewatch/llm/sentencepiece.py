@@ -25,7 +25,9 @@ those named like the results (``n_tokens, ids, decoded, agrees``), which are rep
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from functools import lru_cache
+from heapq import heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -38,6 +40,8 @@ from tidewatch.llm.common import table, whole
 SPACE = "▁"
 #: Cuts kept by a worker; texts and cuts encoded together.
 _STORE, _ROWS, _TOGETHER = 300_000, 256, 16_384
+#: Cuts of more characters have an agenda of their own, a heap.  No symbol.
+_LONG, _GONE = 4_096, -1
 _RESULTS = ("n_tokens", "ids", "decoded", "agrees")
 
 
@@ -104,6 +108,7 @@ class Vocabulary:
         order = np.argsort(np.array(keys, np.int64))
         self.keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
         self.made = np.append(np.array(made, np.int64)[order], -1)
+        self.table: dict | None = None  # the same by key, made when a long cut comes
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The piece that two symbols make (-1: none), and its score (-inf)."""
@@ -145,6 +150,38 @@ class Vocabulary:
         kept = symbols[:, :-1] != -1
         return self._spelled(symbols[:, :-1][kept], kept.sum(1))
 
+    def merge_long(self, cut: str) -> tuple[np.ndarray, np.ndarray]:
+        """The same for one long cut, its agenda a heap: entries of pairs that are gone by
+        the time they come up are passed over."""
+        if self.table is None:
+            self.table = {k: (m, -float(self.score[m])) for k, m in zip(self.keys[:-1].tolist(), self.made[:-1].tolist())}
+        found, n = self.table, len(cut)
+        symbols = self.symbol_at[np.frombuffer(cut.encode("utf-32-le"), np.uint32)].tolist()
+        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
+        agenda = []
+
+        def put(a: int, b: int) -> None:
+            if symbols[a] >= 0 and symbols[b] >= 0:
+                made = found.get((symbols[a] << 32) | symbols[b])
+                if made and made[1] < np.inf:
+                    heappush(agenda, (made[1], a, b, symbols[a], symbols[b], made[0]))
+
+        for a in range(n - 1):
+            put(a, a + 1)
+        while agenda:  # the best score, the leftmost of equals
+            _, a, b, was_a, was_b, piece = heappop(agenda)
+            if symbols[a] != was_a or symbols[b] != was_b or right[a] != b:
+                continue
+            symbols[a], symbols[b] = piece, _GONE
+            right[a] = right[b]
+            if right[a] < n:
+                left[right[a]] = a
+                put(a, right[a])
+            if left[a] >= 0:
+                put(left[a], a)
+        kept = np.array([s for s in symbols if s != _GONE], np.int64)
+        return self._spelled(kept, np.array([len(kept)]))
+
     def _spelled(self, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbols that are no piece as bytes, or as the unknown piece, in rows that have any."""
         odd = (flat < 0) | (flat >= self.n_ids)
@@ -171,10 +208,16 @@ class Vocabulary:
         """The cuts by length, their ids in a row, and how many each has."""
         cuts = sorted(cuts, key=len)
         flats, lengths, at = [], [], 0
+        short = bisect_right(cuts, _LONG, key=len)
         while at < len(cuts):
-            longest = len(cuts[min(at + _TOGETHER, len(cuts)) - 1])
+            if at >= short:
+                for out, made in zip((flats, lengths), self.merge_long(cuts[at])):
+                    out.append(made)
+                at += 1
+                continue
+            longest = len(cuts[min(at + _TOGETHER, short) - 1])
             # a table of about a million cells at most
-            part = cuts[at : at + max(1, min(_TOGETHER, (1 << 20) // longest))]
+            part = cuts[at : min(short, at + max(1, min(_TOGETHER, (1 << 20) // longest)))]
             for out, made in zip((flats, lengths), self.merge(part)):
                 out.append(made)
             at += len(part)
