@@ -224,8 +224,8 @@ def test_dlq_rate_alerts(spark):
 
 def test_lag_and_termination_alerts(spark):
     metrics = spark.createDataFrame(
-        [("q", "r", 0, when(9), 1, 1.0, 1.0, 120_000.0, 0, 0),
-         ("q", "r", 1, when(10), 1, 1.0, 1.0, 120_001.0, 0, 0)],
+        [("q", "r", 0, when(9), 1, 1.0, 1.0, 120_000.0, 0, 0, "i"),
+         ("q", "r", 1, when(10), 1, 1.0, 1.0, 120_001.0, 0, 0, "i")],
         METRICS_SCHEMA,
     )
     rows = alerts.lag_alerts(metrics).collect()
