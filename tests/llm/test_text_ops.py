@@ -109,6 +109,34 @@ def test_few_documents_or_short_lines_stay(documents):
     assert lines.dedup_lines(docs).agg(F.sum("lines_dropped")).first()[0] == 0
 
 
+def test_one_template_over_ten_thousand_documents(documents):
+    """Two fields of 300 values each, every value in many documents: all but one line go."""
+    names = ["".join(chr(97 + (i // 26**k) % 26) for k in range(3)) for i in range(300)]
+    rows = [
+        (i, f"the good reader {names[i % 300]} of this town is called {names[i * 7 // 11 % 300]} by all friends")
+        for i in range(10_000)
+    ]
+    rows += [(20_000 + i, f"written by {names[i % 300]} in his house at {names[i * 7 // 11 % 300]} this year") for i in range(9_000)]
+    found = lines.dedup_lines(documents(rows)).groupBy(F.col("doc_id") < 20_000).agg(F.sum("lines_dropped"))
+    # a field among the leading tokens keeps a line of each value
+    assert dict(found.collect()) == {True: 9_999, False: 9_000 - 300}
+
+
+def test_datelines_share_lines_and_footers_go(documents):
+    rows = [(i, f"own {'x' * (i + 1)} words\n" + line) for i in range(60) for line in [
+        (f"Posted on {i % 28 + 1} May 20{i % 10 + 10} at 10:{i % 50 + 10} by admin", "Share this article on Facebook",
+         "Tel 020 7946 0958 Fax 020 7946 0959")[i % 3]
+    ]]
+    found = lines.dedup_lines(documents(rows)).collect()
+    assert sum(r.lines_dropped for r in found) == 57
+    assert all(r.text.startswith("own x") for r in found)
+
+
+def test_numbers_that_differ_stay(documents):
+    rows = [(i, f"{i} {i * 7} {i * 13} a {i * 17} {i * 23}") for i in range(50)]
+    assert lines.dedup_lines(documents(rows)).agg(F.sum("lines_dropped")).first()[0] == 0
+
+
 def test_lines_odd_rows(odd):
     found = lines.dedup_lines(odd.withColumn("lines", F.lit("x"))).collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in found) == sorted((r[0] or 0, r[1] or "") for r in ODD)

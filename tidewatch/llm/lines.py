@@ -1,21 +1,28 @@
 """Line dedup (operator 4), by a tree of log templates of fixed depth.
 
-A line is cut into tokens; tokens with a digit are masked.  The tree has one level
-for the number of tokens and ``depth`` levels for the leading tokens.  Below a node
-of the tree, a token is a constant of its position if at least ``min_docs`` different
-lines of documents have it there, and a variable field otherwise.  A line's template
-is its tokens with the variable fields generalised.  A template recurs if at least
-``min_docs`` documents have it and at least ``constant`` of its tokens are constants;
-a recurring template stays in the first document that has it (least id) and its lines
-are dropped from all others.
-
-Lines of fewer than ``min_tokens`` tokens are never dropped: they coincide by chance.
-Nothing else is left out: lines of any length and any number of documents count.
+A line is cut into tokens; tokens with a digit are masked, unless they are more than half
+of the line.  The tree has one level for the number of tokens and ``depth`` levels for
+the leading tokens.  Below a node of the tree, a token is a constant of its position if
+it stands there in at least one in ``rare`` of the node's lines (counted once per
+document) and in ``min_docs`` at least, and a variable field otherwise.  So a field whose
+values each recur is generalised however large the corpus is; one among the leading
+tokens makes a node, and so a template, of each of its values.  A line's template is its
+tokens with the variable fields generalised.  A template recurs if at least ``min_docs``
+documents have it, at least ``steady`` of its tokens are constants or masked, and a
+quarter of them, two at least, are constants.  A recurring template stays in the first
+document that has it (least id) and its lines are dropped from all others.
+
+A line that many documents have word for word (masked alike) recurs by that alone, in
+whatever node it is.  Lines of ``min_tokens`` tokens and more need ``min_docs`` documents;
+each token less doubles the number, because short lines coincide by chance.
+
+Nothing is left out: lines of any length and any number of documents count.
 
 **Plan.**  Nodes are counted by hash first, which leaves few lines; only those carry
 their text through a shuffle.  What a join needs of a hot node (its count, a token's
-support, a template's fate) is one row, written before the join, so the join's other
-side can be split however many lines the node has.
+support, a template's or a line's fate) is one row, written before the join, so the
+join's other side can be split however many lines the node has.  Which lines a text
+loses comes back as flags by position, so rewriting it is linear in its lines.
 
 Defined results: null and empty texts are returned as they are.  Blank lines and the
 order of the rest stay.  Lines are told apart by 64-bit hashes.  Rows that repeat an id count as one document, and each is
@@ -32,7 +39,7 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import SPACE, table, whole, words_of
 from tidewatch.settings import settle
 
-DEPTH, MIN_DOCS, MIN_TOKENS, CONSTANT = 3, 3, 6, 0.8
+DEPTH, MIN_DOCS, MIN_TOKENS, STEADY, RARE = 3, 3, 6, 0.8, 5
 FIELD = "<*>"
 #: A token that holds a digit.
 _NUMBERED = r"[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
@@ -40,10 +47,21 @@ _NUMBERED = r"[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 _UNEVEN = r"[0-9\x09-\x0D]|  "
 
 
-def _masked(line: Column) -> Column:
-    """The line's tokens, those with a digit masked, one space between them."""
-    masked = F.regexp_replace(F.regexp_replace(line, _NUMBERED, FIELD), SPACE, " ")
-    return F.trim(F.when(line.rlike(_UNEVEN), masked).otherwise(line))
+def _made(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """``df`` with a column that is worked out once, however often it is used (a generator
+    keeps steps apart)."""
+    return df.withColumn("__made", F.explode(F.array(column))).withColumn(name, F.col("__made")).drop("__made")
+
+
+def _masked(df: DataFrame) -> DataFrame:
+    """``line`` as its tokens, those with a digit masked, one space between them; a line that
+    is mostly such tokens stands for itself."""
+    raw, masked = F.col("raw"), F.col("line")
+    tokens = F.trim(F.regexp_replace(F.regexp_replace(raw, _NUMBERED, FIELD), SPACE, " "))
+    df = _made(df, "line", F.when(raw.rlike(_UNEVEN), tokens).otherwise(F.trim(raw)))
+    plain = F.trim(F.regexp_replace(raw, SPACE, " "))
+    mostly = masked.contains(FIELD) & (2 * _n_fields(masked) > _n_tokens(masked)) & raw.rlike("[0-9]")
+    return _made(df, "line", F.when(mostly, plain).otherwise(masked)).drop("raw")
 
 
 def _n_tokens(line: Column) -> Column:
@@ -51,27 +69,46 @@ def _n_tokens(line: Column) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_tokens: int) -> DataFrame:
-    """``(id, line, node)`` of every line with enough tokens; the line is masked."""
-    lines = docs.select(
-        F.col(id_col).alias("id"), F.explode(F.split(whole(text_col), "\n")).alias("line")
+def _n_fields(line: Column) -> Column:
+    """How often the mask stands in a line."""
+    return ((F.length(line) - F.length(F.replace(line, F.lit(FIELD), F.lit("")))) / len(FIELD)).cast("int")
+
+
+def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame:
+    """``(id, key, at, line, n, node)`` of every line; it is masked, n is 0 if it is blank.
+
+    ``key`` tells the texts of one id apart.
+    """
+    text = whole(text_col)
+    lines = _masked(
+        docs.select(
+            F.col(id_col).alias("id"), F.xxhash64(text).alias("key"),
+            F.posexplode(F.split(text, "\n")).alias("at", "raw"),
+        )
     )
-    lines = lines.select("id", F.explode(F.array(_masked(F.col("line")))).alias("line"))
-    return (
-        lines.where(F.col("line") != "")
-        .withColumn("n", _n_tokens(F.col("line")))
-        .where(F.col("n") >= min_tokens)
-        .select("id", "line", F.xxhash64("n", F.substring_index("line", " ", depth)).alias("node"))
+    n = F.when(F.col("line") == "", 0).otherwise(_n_tokens(F.col("line")))
+    return lines.withColumn("n", n).withColumn(
+        "node", F.xxhash64("n", F.substring_index("line", " ", depth))
     )
 
 
+def same_lines(places: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS) -> DataFrame:
+    """``(line_id, same_first)``: lines that enough documents have, and the first of these."""
+    held = places.where("n > 0").select("id", "line_id", "n").distinct().groupBy("line_id", "n").agg(
+        F.count(F.lit(1)).alias("docs"), F.min("id").alias("same_first")
+    )
+    need = min_docs * F.pow(F.lit(2.0), F.greatest(min_tokens - F.col("n"), F.lit(0)))
+    return settle(held.where(F.col("docs") >= need).select("line_id", "same_first"), "same-lines")
+
+
 def recurring(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
-    min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, constant: float = CONSTANT,
+    lines: DataFrame, places: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS,
+    steady: float = STEADY, rare: int = RARE,
 ) -> DataFrame:
-    """``(id, line_id)``: hashes of the masked lines that each document loses."""
-    lines = _lines(docs, id_col, text_col, depth, min_tokens)
-    nodes = settle(lines.groupBy("node").count().where(F.col("count") >= min_docs), "nodes")
+    """``(id, line_id)``: hashes of the lines that each document loses to templates."""
+    lines = lines.where(F.col("n") >= min_tokens).select("id", "line", "node")
+    nodes = places.where(F.col("n") >= min_tokens).groupBy("node").count()
+    nodes = settle(nodes.where(F.col("count") >= min_docs), "nodes")
     busy = lines.join(nodes.select("node"), "node").withColumn("line_id", F.xxhash64("line"))
     busy = settle(busy.groupBy("id", "node", "line_id").agg(F.min("line").alias("line")), "lines")
 
@@ -79,24 +116,29 @@ def recurring(
         F.count(F.lit(1)).alias("docs"), F.min("line").alias("line")
     )
     distinct = settle(distinct, "distinct")
+    sizes = settle(distinct.groupBy("node").agg(F.sum("docs").alias("of")), "sizes")
     tokens = distinct.select(
         "node", "line_id", "docs", F.posexplode(F.split("line", " ")).alias("at", "token")
     )
-    support = tokens.groupBy("node", "at", "token").agg(F.sum("docs").alias("docs"))
-    support = settle(support.where((F.col("docs") >= min_docs) & (F.col("token") != FIELD)), "support")
-    steady = tokens.select("node", "line_id", "at", "token").join(
+    support = tokens.where(F.col("token") != FIELD).groupBy("node", "at", "token").agg(F.sum("docs").alias("docs"))
+    support = support.where(F.col("docs") >= min_docs).join(sizes, "node")
+    support = settle(support.where(rare * F.col("docs") >= F.col("of")), "support")
+    constant = tokens.select("node", "line_id", "at", "token").join(
         support.select("node", "at", "token"), ["node", "at", "token"]
     )
-    constants = steady.groupBy("node", "line_id").agg(
+    constants = constant.groupBy("node", "line_id").agg(
         F.array_sort(F.collect_list(F.struct("at", "token"))).alias("fixed")
     )
     constants = constants.join(
-        distinct.select("node", "line_id", _n_tokens(F.col("line")).alias("n")), ["node", "line_id"]
+        distinct.select(
+            "node", "line_id", _n_tokens(F.col("line")).alias("n"), _n_fields(F.col("line")).alias("fields")
+        ),
+        ["node", "line_id"],
     )
+    fixed = F.size("fixed")
+    enough = (fixed + F.col("fields") >= steady * F.col("n")) & (4 * fixed >= F.col("n")) & (fixed >= 2)
     templates = settle(
-        constants.where(F.size("fixed") >= constant * F.col("n")).select(
-            "node", "line_id", F.xxhash64("node", "n", "fixed").alias("template")
-        ),
+        constants.where(enough).select("node", "line_id", F.xxhash64("node", "n", "fixed").alias("template")),
         "templates",
     )
     named = settle(busy.select("id", "node", "line_id").join(templates, ["node", "line_id"]), "named")
@@ -107,26 +149,47 @@ def recurring(
     )
     fate = settle(fate.select("template", "first"), "recurring")
     lost = named.join(fate, "template").where(~F.col("id").eqNullSafe(F.col("first")))
-    return lost.select("id", "line_id")
+    return lost.select("id", "line_id").distinct()
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH, **options,
+) -> DataFrame:
     """``docs`` without the recurring lines, with ``lines`` and ``lines_dropped`` added.
 
     These two names replace columns of the same name.
     """
-    lost = recurring(docs, id_col, text_col, **options)
-    lost = lost.groupBy("id").agg(F.collect_set("line_id").alias("lost"))
+    lines = _lines(docs, id_col, text_col, depth)
+    line_id = F.when(F.col("n") > 0, F.xxhash64("line")).alias("line_id")
+    places = settle(lines.select("id", "key", "at", "n", "node", line_id), "places")
+    lost = settle(recurring(lines, places, min_docs, min_tokens, **options), "lost")
+    lost = lost.withColumnsRenamed({"id": "lost_id", "line_id": "lost_line"})
+    same = same_lines(places, min_docs, min_tokens)
+    key = F.xxhash64(whole(text_col))
+    places = places.select("id", "key", "at", "line_id")
+    # a line of one document is a row of its own here: a frequent line's rows can be split
+    places = places.join(same, "line_id", "left").join(
+        lost, F.col("id").eqNullSafe(F.col("lost_id")) & (F.col("line_id") == F.col("lost_line")), "left"
+    )
+    first = F.col("same_first").isNotNull() & ~F.col("id").eqNullSafe(F.col("same_first"))
+    places = places.select("id", "key", "at", (first | F.col("lost_line").isNotNull()).alias("gone"))
+    flags = (
+        places.groupBy("id", "key")
+        .agg(F.max("gone").alias("any"), F.array_sort(F.collect_set(F.struct("at", "gone"))).alias("flags"))
+        .where("any")
+        .select(F.col("id").alias("__flag_id"), F.col("key").alias("__flag_key"), "flags")
+    )
     kept = [c for c in docs.columns if c not in ("lines", "lines_dropped")]
     row = F.struct(*(F.col(f"`{c}`") for c in kept)).alias("__row")
-    joined = docs.select(row, F.col(id_col).alias("__id")).join(
-        lost, F.col("__id").eqNullSafe(F.col("id")), "left"
+    joined = docs.select(row, F.col(id_col).alias("__id"), key.alias("__key")).join(
+        flags, F.col("__id").eqNullSafe(F.col("__flag_id")) & (F.col("__key") == F.col("__flag_key")), "left"
     )
     text = F.col(f"__row.`{text_col}`")
     lines = F.split(whole(text), "\n")
-    left = F.filter(lines, lambda line: ~F.array_contains(F.col("lost"), F.xxhash64(_masked(line))))
+    left = F.filter(lines, lambda line, i: ~F.col("flags")[i]["gone"])
     staged = joined.select(
-        "__row", F.size(lines).alias("lines"), F.when(F.col("lost").isNotNull(), left).alias("left")
+        "__row", F.size(lines).alias("lines"), F.when(F.col("flags").isNotNull(), left).alias("left")
     )
     rewritten = F.coalesce(F.array_join("left", "\n"), text).alias(text_col)
     dropped = F.coalesce(F.col("lines") - F.size("left"), F.lit(0)).alias("lines_dropped")
@@ -147,37 +210,53 @@ def op4_lines(spark, sf_dir):
 
 
 OP4_SQL = r"""
-WITH lines AS (
+WITH raw_lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+    FROM documents),
+both_ways AS (
+    SELECT doc_id, pos, raw, trim(regexp_replace(raw, '[\x20\x09-\x0D]+', ' ', 'g')) AS plain,
+           trim(regexp_replace(regexp_replace(raw,
+               '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS masked
+    FROM raw_lines),
+lines AS (
     SELECT doc_id, pos, raw, line, len(string_split(line, ' ')) AS n,
            array_to_string(string_split(line, ' ')[1:3], ' ') AS path
     FROM (SELECT doc_id, pos, raw,
-                 trim(regexp_replace(regexp_replace(raw,
-                     '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS line
-          FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
-                       generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
-                FROM documents))),
+                 CASE WHEN 2 * ((len(masked) - len(replace(masked, '<*>', ''))) // 3) > len(string_split(masked, ' '))
+                           AND regexp_matches(raw, '[0-9]')
+                      THEN plain ELSE masked END AS line
+          FROM both_ways)),
+same AS (
+    SELECT line, min(doc_id) AS first FROM lines WHERE line <> '' GROUP BY line, n
+    HAVING count(DISTINCT doc_id) >= 3 * pow(2, greatest(6 - n, 0))),
 busy AS (
     SELECT DISTINCT doc_id, line, n, path FROM lines
     JOIN (SELECT n, path FROM lines WHERE line <> '' GROUP BY n, path HAVING count(*) >= 3) USING (n, path)
     WHERE line <> '' AND n >= 6),
 unique_lines AS (SELECT line, n, path, count(*) AS docs FROM busy GROUP BY ALL),
+sizes AS (SELECT n, path, sum(docs) AS of FROM unique_lines GROUP BY ALL),
 tokens AS (
     SELECT line, n, path, docs, unnest(string_split(line, ' ')) AS token,
            generate_subscripts(string_split(line, ' '), 1) AS pos
     FROM unique_lines),
 support AS (
-    SELECT n, path, pos, token FROM tokens WHERE token <> '<*>'
-    GROUP BY ALL HAVING sum(docs) >= 3),
+    SELECT n, path, pos, token FROM tokens JOIN sizes USING (n, path) WHERE token <> '<*>'
+    GROUP BY n, path, pos, token, of HAVING sum(docs) >= 3 AND 5 * sum(docs) >= of),
 templates AS (
     SELECT t.line, t.n, t.path, list(t.pos || ' ' || t.token ORDER BY t.pos) AS fixed
     FROM tokens t JOIN support s ON t.n = s.n AND t.path = s.path AND t.pos = s.pos AND t.token = s.token
-    GROUP BY t.line, t.n, t.path HAVING count(*) >= 0.8 * t.n),
+    GROUP BY t.line, t.n, t.path
+    HAVING count(*) + (len(t.line) - len(replace(t.line, '<*>', ''))) // 3 >= 0.8 * t.n
+       AND 4 * count(*) >= t.n AND count(*) >= 2),
 named AS (
     SELECT b.doc_id, b.line, t.n, t.path, t.fixed FROM busy b JOIN templates t USING (line)),
 fate AS (
     SELECT n, path, fixed, min(doc_id) AS first FROM named GROUP BY ALL HAVING count(DISTINCT doc_id) >= 3),
 lost AS (
-    SELECT DISTINCT doc_id, line FROM named JOIN fate USING (n, path, fixed) WHERE doc_id <> first)
+    SELECT doc_id, line FROM named JOIN fate USING (n, path, fixed) WHERE doc_id <> first
+    UNION
+    SELECT doc_id, line FROM lines JOIN same USING (line) WHERE doc_id <> first)
 SELECT l.doc_id, CAST(count(*) AS INT) AS lines, CAST(count(x.line) AS INT) AS lines_dropped,
        coalesce(string_agg(l.raw, chr(10) ORDER BY l.pos) FILTER (WHERE x.line IS NULL), '') AS text
 FROM lines l LEFT JOIN lost x ON l.doc_id = x.doc_id AND l.line = x.line
