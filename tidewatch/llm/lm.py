@@ -17,7 +17,7 @@ words as the base score's does.  The state is a GRU's.
 **Training.**  All training documents (``share`` above 1: one in so many, by a hash of
 the text) are dealt to workers of about ``worker_tokens`` tokens.  In each round every
 worker runs truncated backpropagation over its texts, starting from the common
-parameters; the new common parameters are the workers' mean.
+parameters; the new common parameters are the workers' mean, taken in levels.
 
 **Scoring.**  Texts lie end to end in lanes of a numpy batch; the state goes on from
 window to window until a text ends, so a text is scored whole whatever its length.
@@ -67,11 +67,13 @@ class Options:
     class_size: int = 24
     hidden: int = 16
     share: int = 1  # one in so many training documents is learned from; 1: all
-    worker_tokens: int = 1_000_000
+    worker_tokens: int = 2_000_000
     rounds: int = 2
     rate: float = 0.01
     steps: int = 300  # that a worker takes in a round at least, going over its texts again
     window: int = 32  # of backpropagation
+    train_lanes: int = 256  # texts a worker learns from side by side
+    fan: int = 32  # workers whose parameters are averaged at once, about
     lanes: int = 512  # texts scored side by side
 
 
@@ -339,13 +341,13 @@ def train_network(train: DataFrame, kinds: Kinds, lexicon: Lexicon, options: Opt
             group = group.combine_chunks()
             lengths = group["n"].to_numpy()
             inputs, classes, within = (
-                group[x].combine_chunks().flatten().to_numpy().astype(np.int64) for x in "icm"
+                group[x].combine_chunks().flatten().to_numpy().astype(np.int32) for x in "icm"
             )
             # so few lanes that the longest text does not run on beside empty ones
-            n_lanes = int(np.clip(lengths.sum() // max(lengths.max(), options.window), 1, 64))
+            n_lanes = int(np.clip(lengths.sum() // max(lengths.max(), options.window), 1, options.train_lanes))
             row, lane, heights = laid_out(lengths, n_lanes)
             height = int(heights[0])
-            grid = np.zeros((3, height, n_lanes), np.int64)
+            grid = np.zeros((3, height, n_lanes), np.int32)
             grid[0], grid[1] = lexicon.short + lexicon.n_kinds, -1
             for k, x in enumerate((lexicon.before(inputs, lengths), classes, within)):
                 grid[k][row, lane] = x
@@ -360,22 +362,31 @@ def train_network(train: DataFrame, kinds: Kinds, lexicon: Lexicon, options: Opt
 
         return run
 
-    def mean(group: pa.Table) -> pa.Table:
-        n = group["n"].to_numpy()
-        total = sum(np.frombuffer(w, np.float32) * float(k) for w, k in zip(group["w"].to_pylist(), n))
-        return pa.table({"w": [(total / n.sum()).astype(np.float32).tobytes()], "n": [int(n.sum())]})
-
     for _ in range(options.rounds):
         sent = spark.sparkContext.broadcast(vector.tobytes())
         learned = texts.withColumn("worker", dealt).groupBy("worker").applyInArrow(learn(sent), "w binary, n long")
-        # means of groups of workers first, so the driver sees sixteen at most
-        some = learned.groupBy((F.xxhash64("n", "w") % 16).alias("g")).applyInArrow(mean, "w binary, n long")
-        vectors = some.collect()
-        n = sum(r.n for r in vectors)
-        vector = sum(np.frombuffer(r.w, np.float32) * (r.n / n) for r in vectors).astype(np.float32)
+        vector = _average(learned, options.fan)
     return vector
 
 
+def _average(learned: DataFrame, fan: int) -> np.ndarray:
+    """The mean of ``(w, n)``, parameters weighed by tokens, in levels of about ``fan`` rows."""
+
+    def mean(group: pa.Table) -> pa.Table:
+        n = group["n"].to_numpy()
+        total = sum(np.frombuffer(w.as_py(), np.float32) * float(k) for w, k in zip(group["w"], n))
+        return pa.table({"w": [(total / n.sum()).astype(np.float32).tobytes()], "n": [int(n.sum())]})
+
+    while True:
+        # written first: a lost executor must not cost what all workers have learned
+        learned = settle(learned.select("w", "n"), "learned")
+        rows = learned.count()
+        if rows == 1:
+            return np.frombuffer(learned.first().w, np.float32).copy()
+        groups = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(-(-rows // fan)))
+        learned = learned.withColumn("g", groups).groupBy("g").applyInArrow(mean, "w binary, n long")
+
+
 def _score_batch(parts, network: GRU, vector, lexicon: Lexicon, options: Options):
     """Scores of some texts given as (tokens, kinds, lengths): all but the rare words' counts."""
     tokens = np.concatenate([p[0] for p in parts])
