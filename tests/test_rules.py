@@ -108,6 +108,15 @@ def test_no_object(bus, text, reason):
     assert all_failures(decode_records(bus(text)), now()).first().error_reason == reason
 
 
+def test_negative_zero_keeps_its_sign(bus, event):
+    rows = all_failures(
+        decode_records(bus(event(price=-0.0), event(price=0.0), event(price=0))), now()
+    ).orderBy("kafka_offset").collect()
+    assert [r.error_reason for r in rows] == [
+        f"invalid_price: {price} <= min 0.0" for price in ("-0.0", "0.0", "0")
+    ]
+
+
 def test_empty_object_misses_every_required_field(bus):
     row = all_failures(decode_records(bus(" {}")), now()).first()
     assert row.reason_codes == ["missing_field"] * 5

@@ -28,7 +28,7 @@ def judge_records(
 ) -> DataFrame:
     """Per record its event id, the scorecard's yes/no answers and all reasons."""
     now = F.current_timestamp() if as_of is None else as_of
-    read = add_once(read_json(records, raw), reasons=failure_list(now, bounds))
+    read = add_once(read_json(records, raw), reasons=failure_list(now, bounds, raw))
     return read.select(
         F.col("_s_event_id").alias("event_id"),
         is_complete(bounds).alias("complete"),
