@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,6 +165,18 @@ def test_batch_writer_clusters_and_creates_its_table(spark, bus, event, tmp_path
     spark.sql("DROP TABLE events_by_batch")
 
 
+def test_batch_writer_cuts_no_date_that_fits_a_file(spark, bus, event, tmp_path):
+    rows = [
+        event(event_id=f"{day}-{i}", symbol=f"S{i:02d}", timestamp=f"2026-06-{day}T01:00:00Z")
+        for day, n in ((20, 9), (21, 7), (22, 10), (23, 25), (24, 8)) for i in range(n)
+    ]
+    raw = event_tables(bus(*rows)).raw_events
+    batch_writer("table", str(tmp_path), RAW_EVENTS, file_rows=10)(raw, 0)
+    files = Counter(f.parent.name for f in (tmp_path / "events_raw").rglob("*.parquet"))
+    assert files.pop("event_date=2026-06-23") > 1
+    assert set(files.values()) == {1} and len(files) == 4
+
+
 def test_per_batch_sinks_in_a_stream(spark, feed, tmp_path, capsys):
     folder = feed(("1", 0, {}), ("2", 5, {}))
     run(spark, folder, tmp_path / "out", outputs=("raw_events",), sink="table")

@@ -12,7 +12,6 @@ has committed them, as the readers' own checkpoints tell.
 from __future__ import annotations
 
 import json
-import math
 import uuid
 from functools import reduce
 from urllib.parse import unquote
@@ -31,7 +30,7 @@ from ..sources.compacted import (
     stragglers,
     swap_manifest,
 )
-from .tables import clustered
+from .tables import clustered, rows_by_date
 
 
 def compact(
@@ -63,8 +62,8 @@ def compact(
         rows = rows.unionByName(old.where(date.isin(*held)))
     generation = f"generation-{uuid.uuid4().hex}"
     path = f"{compaction_folder(base, layout)}/{generation}"
-    files_now = max(1, math.ceil(rows.count() / file_rows))
-    clustered(rows, layout, files_now).write.partitionBy(layout.partition_by).parquet(path)
+    laid = clustered(rows, layout, rows_by_date(rows, layout), file_rows)
+    laid.write.partitionBy(layout.partition_by).parquet(path)
     names = [(f.rpartition("/")[2],) for f in new]
     spark.createDataFrame(names, "name string").coalesce(1).write.parquet(f"{path}-replaced")
     for d in due:

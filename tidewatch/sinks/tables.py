@@ -54,12 +54,24 @@ def append_table(df: DataFrame, base: str, layout: TableLayout, fmt: str = "parq
     writer.save(f"{base}/{layout.name}")
 
 
-def clustered(df: DataFrame, layout: TableLayout, files: int) -> DataFrame:
-    """Rows in ``files`` sorted ranges over date and cluster columns, with a tail (of its
-    own or a hash of the row) that keeps a hot value splittable."""
+def rows_by_date(df: DataFrame, layout: TableLayout) -> dict:
+    return {r[0]: r[1] for r in df.groupBy(layout.partition_by).count().collect()}
+
+
+def clustered(df: DataFrame, layout: TableLayout, dates: dict, file_rows: int) -> DataFrame:
+    """Rows in a sorted range per ``file_rows`` rows, about; ``dates`` as by `rows_by_date`.
+
+    A date of up to ``file_rows`` rows is never cut; a larger one is cut over the cluster
+    columns, with a tail (of its own or a hash of the row) that keeps a hot value splittable.
+    """
+    files = max(1, -(-sum(dates.values()) // file_rows))
     order = [layout.partition_by, *layout.cluster_by]
     tail = [F.col(c) for c in layout.spread_by] or [F.xxhash64(*df.columns)]
-    return df.repartitionByRange(files, *order, *tail).sortWithinPartitions(*order)
+    large = F.lit(False)
+    for date in [d for d, n in dates.items() if n > file_rows]:
+        large = large | F.col(layout.partition_by).eqNullSafe(F.lit(date))
+    within = [F.when(large, c) for c in (*map(F.col, layout.cluster_by), *tail)]
+    return df.repartitionByRange(files, layout.partition_by, *within).sortWithinPartitions(*order)
 
 
 def parquet_batches(
@@ -78,7 +90,7 @@ def parquet_batches(
     as many.  The query's id is kept in its checkpoint: a query with another
     checkpoint counts from batch 0 again, but in folders of its own.
 
-    A batch is clustered into a file per ``file_rows`` rows; an empty one writes
+    A batch is clustered into a file per ``file_rows`` rows and date; an empty one writes
     none.  With ``table`` the table of that name is created over ``base`` if need be.
     Last of all the batch is entered in the log of commits (`read_commits`), again
     under its own name: rows without an entry are of a batch that will be repeated.
@@ -98,10 +110,11 @@ def parquet_batches(
         place = f"query_id={query_id(spark)}/batch_id={batch_id}"
         batch = batch.persist()  # counted, sampled and written, but computed once
         try:
-            rows = batch.count()
+            dates = rows_by_date(batch, layout)
+            rows = sum(dates.values())
             if rows:
-                files = -(-rows // file_rows)
-                writer = clustered(batch, layout, files).write.format(fmt).options(**options).mode("overwrite")
+                laid = clustered(batch, layout, dates, file_rows)
+                writer = laid.write.format(fmt).options(**options).mode("overwrite")
                 if layout.partition_by in batch.columns:
                     writer = writer.partitionBy(layout.partition_by)
                 writer.save(f"{base}/{layout.name}/{place}")
