@@ -224,6 +224,20 @@ def test_fuzzy_passages_are_found(documents):
     assert min(recall.values()) >= 0.9, recall
 
 
+@pytest.mark.parametrize("copies", [1, 15])
+def test_passages_whose_parts_were_all_seen_earlier_elsewhere(documents, copies):
+    """No document is the first of two runs of the passage that two later ones share."""
+    rng = np.random.default_rng(10)
+    text = lambda n: [f"w{int(i)}" for i in rng.integers(0, 10**9, n)]
+    runs = [text(9) for _ in range(7)]
+    rows = [text(20) + run + text(20) for run in runs for _ in range(copies)]
+    fuzzy = lambda: text(30) + sum((run + text(1) for run in runs), []) + text(30)
+    rows += [fuzzy(), fuzzy()]
+    docs = documents([(i, " ".join(w)) for i, w in enumerate(rows)])
+    found = {(r.id, r.first_id) for r in chains.passages(docs).collect()}
+    assert found == {(len(rows) - 1, len(rows) - 2)}
+
+
 def test_passages_odd_rows(odd):
     found = {(r.id, r.first_id) for r in chains.passages(odd).collect()}
     assert found == set()
