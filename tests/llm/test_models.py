@@ -93,6 +93,20 @@ def test_gradient_by_differences():
         assert grad[i] == pytest.approx((loss(vector + step) - loss(vector - step)) / 2e-3, abs=1e-5)
 
 
+def test_gradient_of_far_biases_and_padding():
+    """Bounds that lie far apart, and windows with empty cells, leave finite, equal gradients."""
+    rng = np.random.default_rng(3)
+    net = GRU(12, [3, 0, 4], 5)
+    vector = net.start(np.array([0.0, -200.0, -1.0]), rng.normal(0, 300, 7).astype(np.float32))
+    inputs, classes = rng.integers(0, 12, (6, 3)), np.array([[0, 2, 0]] * 6)
+    places, h = rng.integers(0, 3, (6, 3)), np.zeros((3, 5), np.float32)
+    grad, _ = net.gradient(vector, inputs, classes, places, h)
+    assert np.isfinite(grad).all() and np.abs(grad).max() <= 1
+    padded = [np.concatenate([x, np.full((6, 1), fill)], 1) for x, fill in ((inputs, 11), (classes, -1), (places, 0))]
+    wide, _ = net.gradient(vector, *padded, np.zeros((4, 5), np.float32))
+    assert wide == pytest.approx(grad * 3 / 4, abs=1e-6)
+
+
 def test_windows_carry_the_state():
     rng = np.random.default_rng(1)
     net = GRU(9, [2, 3, 0], 4)

@@ -14,6 +14,11 @@ import heapq
 import numpy as np
 
 
+def _order(numbers: np.ndarray, n: int) -> np.ndarray:
+    """A stable order of numbers below ``n``; small ones are sorted by their digits."""
+    return np.argsort(numbers.astype(np.int16) if n < 1 << 15 else numbers, kind="stable")
+
+
 class GRU:
     """Tokens 0 .. n_inputs - 1 go in (the last one begins a text); classes come out.
 
@@ -67,28 +72,34 @@ class GRU:
         return states, h
 
     @staticmethod
-    def _log_softmax(logits: np.ndarray) -> np.ndarray:
-        logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-        return logits
-
-    @staticmethod
-    def _log_picked(states, weights, biases, picked: np.ndarray) -> np.ndarray:
-        """Of each row's softmax, the log of the probability picked."""
-        logits = states @ weights + biases
+    def _lowered(states, weights, biases) -> np.ndarray:
+        """Logits less a bound that keeps their exponentials from overflow."""
+        logits = states @ weights
+        logits += biases
         # states lie between -1 and 1, which bounds all logits; far bounds need each row's own
         reach = np.abs(weights).sum(axis=0)
         top = (biases + reach).max()
         if top - (biases - reach).max() > 60:
             top = logits.max(axis=1, keepdims=True)
         logits -= top
+        return logits
+
+    def _softmax(self, states, weights, biases) -> np.ndarray:
+        shares = self._lowered(states, weights, biases)
+        np.exp(shares, out=shares)
+        shares /= (shares @ np.ones(shares.shape[1], shares.dtype))[:, None]
+        return shares
+
+    def _log_picked(self, states, weights, biases, picked: np.ndarray) -> np.ndarray:
+        """Of each row's softmax, the log of the probability picked."""
+        logits = self._lowered(states, weights, biases)
         found = logits[np.arange(len(logits)), picked]
         total = np.exp(logits, out=logits) @ np.ones(logits.shape[1], logits.dtype)
         return found - np.log(total)
 
     def _by_class(self, classes: np.ndarray):
         """Rows of each class with members."""
-        order = np.argsort(classes, kind="stable")
+        order = _order(classes, len(self.members))
         bounds = np.searchsorted(classes[order], np.arange(len(self.members) + 1))
         for k in np.flatnonzero(self.members):
             if bounds[k + 1] > bounds[k]:
@@ -118,19 +129,19 @@ class GRU:
         if not len(rows):
             return grad, last
         scale = np.float32(1 / inputs.size)  # a window that is mostly padding moves little
-        dlogits = np.zeros((len(flat), len(self.members)), np.float32)
-        dlogits[rows] = np.exp(self._log_softmax(flat[rows] @ p["wc"] + p["bc"]))
+        dlogits = self._softmax(flat, p["wc"], p["bc"])
         dlogits[rows, classes[rows]] -= 1
+        dlogits[classes < 0] = 0
         dlogits *= scale
         d["wc"][:], d["bc"][:] = flat.T @ dlogits, dlogits.sum(axis=0)
         dflat = dlogits @ p["wc"].T
         for part, who in self._by_class(classes):
             mine = flat[who]
-            dm = np.exp(self._log_softmax(mine @ p["wm"][:, part] + p["bm"][part]))
+            dm = self._softmax(mine, p["wm"][:, part], p["bm"][part])
             dm[np.arange(len(who)), places[who]] -= 1
             dm *= scale
-            d["wm"][:, part] += mine.T @ dm
-            d["bm"][part] += dm.sum(axis=0)
+            d["wm"][:, part] = mine.T @ dm
+            d["bm"][part] = dm.sum(axis=0)
             dflat[who] += dm @ p["wm"][:, part].T
         dstates = dflat.reshape(states.shape)
         begin, dx = len(p["x"]) - 1, np.empty((*inputs.shape, 3 * self.hidden), np.float32)
@@ -144,9 +155,12 @@ class GRU:
             dx[t] = np.concatenate([dz, dr, dn], 1)
             da = np.concatenate([dz, dr, dn * r], 1)
             d["u"] += before.T @ da
-            d["un"] += (dn * r).sum(axis=0)
+            d["un"] += da[:, 2 * self.hidden :].sum(axis=0)
             dh = (dh * z + da @ p["u"].T) * (inputs[t] != begin)[:, None]
-        np.add.at(d["x"], inputs.ravel(), dx.reshape(-1, 3 * self.hidden))
+        flat_inputs = inputs.ravel()
+        order = _order(flat_inputs, len(p["x"]))
+        used, starts = np.unique(flat_inputs[order], return_index=True)
+        d["x"][used] = np.add.reduceat(dx.reshape(-1, 3 * self.hidden)[order], starts, axis=0)
         return grad, last
 
 
