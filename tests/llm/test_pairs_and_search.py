@@ -1,6 +1,8 @@
 """Near copies, passages, exact search, and the graph they share, against brute force."""
 
 import difflib
+import os
+import time
 
 import numpy as np
 import pytest
@@ -274,3 +276,63 @@ def test_search_small_tables(spark):
     assert found == [(0, 1, 1, -131072)]
     assert bitsliced.top_k(vectors.limit(0), F.lit(True)).count() == 0
     assert bitsliced.top_k(vectors.where("vec_id = 0"), F.lit(True)).count() == 0
+
+
+def _with_a_passage(documents):
+    rng = np.random.default_rng(11)
+    text = lambda n: [f"w{k}" for k in rng.integers(0, 100_000, n)]
+    shared = text(60)
+    return documents([(i, " ".join(text(400) + shared + text(200))) for i in range(24)])
+
+
+def test_passages_leave_no_shuffle_behind(spark, documents):
+    docs = _with_a_passage(documents)
+
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in files.mkString("\n").split("\n") if "/shuffle_" in f}
+
+    def left():  # files go in the background
+        return sum(os.path.getsize(f) for f in shuffles() - before if os.path.exists(f))
+
+    before = shuffles()
+    found = chains.passages(docs)
+    until = time.time() + 10
+    while left() > 2_000 and time.time() < until:  # sums of the whole table stay, a row each
+        time.sleep(0.2)
+    assert left() <= 2_000
+    assert found.count() > 0
+
+
+def test_passages_in_rounds_are_the_same(documents, monkeypatch):
+    docs = _with_a_passage(documents)
+    once = sorted(map(tuple, chains.passages(docs).collect()))
+    monkeypatch.setattr(chains, "_ROUND", 0.01)
+    assert sorted(map(tuple, chains.passages(docs).collect())) == once
+    assert {r[1] for r in once} >= {0} and {r[0] for r in once} == set(range(1, 24))
+
+
+@pytest.mark.parametrize("few", [1, 2, 5])
+def test_links_of_seeds_by_brute_force(spark, few):
+    rng = np.random.default_rng(few)
+    rows = []
+    for seed in range(12):
+        many, seen = bool(rng.random() < 0.3), set()
+        n = int(rng.integers(1, 30))
+        for id_, pos in sorted(zip(rng.integers(0, 20, n).tolist(), rng.permutation(99)[:n].tolist())):
+            rows.append((seed, id_, pos, 1, id_ in seen, many))
+            seen.add(id_)
+    expect = []
+    for seed in range(12):
+        mine = sorted((r for r in rows if r[0] == seed), key=lambda r: (r[4], r[1], r[2]))
+        for n, r in enumerate(mine):
+            firsts = [o for o in mine[:n][: 1 if r[5] else few] if not o[4]]
+            firsts = firsts if r[4] or n < few else firsts[:1]
+            expect += [(*r[1:4], *o[1:4]) for o in firsts if o[1] < r[1]]
+    found = spark.createDataFrame(rows, "seed long, id long, pos int, run int, again boolean, many boolean")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        assert sorted(map(tuple, chains.linked(found, few).collect())) == sorted(expect)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
