@@ -2,6 +2,7 @@
 
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -88,3 +89,24 @@ def test_average_of_very_many_workers(spark):
     rows = [(bytearray(v.tobytes()), int(k)) for v, k in zip(vectors, n)]
     learned = spark.createDataFrame(rows, "w binary, n long").repartition(5)
     assert lm._average(learned, 3) == pytest.approx((vectors * n[:, None]).sum(0) / n.sum(), rel=1e-5)
+
+
+def test_scoring_a_long_text_beside_short_ones_takes_little_memory():
+    rng = np.random.default_rng(0)
+    counts = np.arange(3000, 0, -1)
+    words = np.arange(10, 3010, dtype=np.uint64)
+    rest = {k: (int(counts[k::6].sum()), 500) for k in range(6)}
+    options = lm.Options()
+    lexicon = lm.Lexicon((words, counts, np.arange(3000) % 6), (int(counts.sum()), 3000), rest, options, 6)
+    network = lexicon.network(options.hidden)
+    vector = network.start(lexicon.class_logs, lexicon.member_logs)
+    lengths = np.array([60_000] + [10] * 600)
+    at = rng.integers(0, 3000, lengths.sum())
+    part = (words[at], (at % 6).astype(np.int8), lengths)
+    tracemalloc.start()
+    together = lm._score_batch([part], network, vector, lexicon, options)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+    alone = lm._score_batch([(part[0][:60_000], part[1][:60_000], lengths[:1])], network, vector, lexicon, options)
+    assert together[3][0] == pytest.approx(alone[3][0], rel=1e-5)

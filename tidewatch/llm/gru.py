@@ -33,7 +33,7 @@ class GRU:
         self.sizes = {"x": (n_inputs, 3 * h), "u": (h, 3 * h), "un": (h,), "wc": (h, len(members)), "bc": (len(members),)}
         total = int(self.members.sum())
         self.sizes |= {"wm": (h, total), "bm": (total,)}
-        self.at = np.concatenate(([0], np.cumsum(self.members)))
+        self.is_member = np.arange(max(members, default=0)) < self.members[:, None]
         self.n = sum(int(np.prod(s)) for s in self.sizes.values())
 
     def views(self, vector: np.ndarray) -> dict[str, np.ndarray]:
@@ -54,20 +54,35 @@ class GRU:
         return vector
 
     def _states(self, p, inputs, h, keep=None):
-        """States after each of the inputs; with ``keep``, also what the way back needs."""
-        begin, size = len(p["x"]) - 1, self.hidden
-        states = np.empty((*inputs.shape, size), np.float32)
-        x = p["x"][inputs]
+        """States after each of the inputs, (time, unit, lane); ``h`` is (unit, lane).
+
+        Lanes lie last, so gates are whole stretches of memory.  With ``keep`` (arrays for
+        states before, gates, candidates' parts and candidates), also what the way back needs.
+        """
+        size = self.hidden
+        alive = (inputs != len(p["x"]) - 1).astype(np.float32)  # a text that begins forgets
+        states = np.empty((len(inputs), size, inputs.shape[1]), np.float32)
+        x = np.ascontiguousarray(p["x"][inputs].transpose(0, 2, 1))
+        u, un = np.ascontiguousarray(p["u"].T), p["un"][:, None]
         for t in range(len(inputs)):
-            h = np.where((inputs[t] == begin)[:, None], np.float32(0), h)
-            a = h @ p["u"]
-            g = 1 / (1 + np.exp(-(x[t, :, : 2 * size] + a[:, : 2 * size])))
-            z, r = g[:, :size], g[:, size:]
-            c = a[:, 2 * size :] + p["un"]
-            n = np.tanh(x[t, :, 2 * size :] + r * c)
+            h = h * alive[t]
+            a = u @ h
+            g = a[: 2 * size]
+            g += x[t, : 2 * size]
+            np.negative(g, out=g)
+            np.exp(g, out=g)
+            g += 1
+            np.reciprocal(g, out=g)
+            c = a[2 * size :]
+            c += un
+            n = g[size:] * c
+            n += x[t, 2 * size :]
+            np.tanh(n, out=n)
             if keep is not None:
-                keep.append((h, z, r, c, n))
-            h = n + z * (h - n)
+                keep[0][t], keep[1][t], keep[2][t] = h, a, n
+            h = h - n
+            h *= g[:size]
+            h += n
             states[t] = h
         return states, h
 
@@ -97,13 +112,38 @@ class GRU:
         total = np.exp(logits, out=logits) @ np.ones(logits.shape[1], logits.dtype)
         return found - np.log(total)
 
-    def _by_class(self, classes: np.ndarray):
-        """Rows of each class with members."""
+    def _within(self, p, flat, classes):
+        """Logits within the classes, of the rows whose class has members, by class.
+
+        Returns the rows, their states, the logits (less a bound; of members that a class
+        lacks minus infinity), the weights by class, and each class's stretch of rows.
+        """
         order = _order(classes, len(self.members))
-        bounds = np.searchsorted(classes[order], np.arange(len(self.members) + 1))
-        for k in np.flatnonzero(self.members):
-            if bounds[k + 1] > bounds[k]:
-                yield slice(self.at[k], self.at[k + 1]), order[bounds[k] : bounds[k + 1]]
+        sorted_ = classes[order]
+        held = (sorted_ >= 0) & (self.members[sorted_] > 0)
+        order, sorted_ = order[held], sorted_[held]
+        used, starts = np.unique(sorted_, return_index=True)
+        stretches = list(zip(used.tolist(), starts.tolist(), np.append(starts, len(order))[1:].tolist()))
+        weights = np.zeros((*self.is_member.shape, self.hidden), np.float32)
+        weights[self.is_member] = p["wm"].T
+        reach = np.abs(weights).sum(axis=2)
+        low, top = np.full((2, *self.is_member.shape), -np.inf, np.float32)
+        low[self.is_member], top[self.is_member] = p["bm"] - reach[self.is_member], p["bm"] + reach[self.is_member]
+        biases = np.full(self.is_member.shape, -np.inf, np.float32)
+        biases[self.is_member] = p["bm"]
+        bound = top.max(axis=1, initial=-np.inf)
+        # states lie between -1 and 1, which bounds all logits; far bounds need each row's own
+        far = (bound[used] - low.max(axis=1, initial=-np.inf)[used] > 60).any()
+        if not far:
+            biases[used] -= bound[used][:, None]
+        weights = np.ascontiguousarray(weights.transpose(0, 2, 1))
+        mine, logits = flat[order], np.empty((len(order), biases.shape[1]), np.float32)
+        for k, i, j in stretches:
+            np.matmul(mine[i:j], weights[k], out=logits[i:j])
+        logits += biases[sorted_]
+        if far:
+            logits -= logits.max(axis=1, keepdims=True)
+        return order, mine, logits, weights, stretches
 
     def logs(self, vector, inputs, classes, places, h):
         """Natural logs of the probabilities of the targets, and the last state.
@@ -111,57 +151,75 @@ class GRU:
         All arrays are (time, lane); a class of -1 is padding and gets 0.
         """
         p = self.views(vector)
-        states, h = self._states(p, inputs, h)
-        flat, classes, places = states.reshape(-1, self.hidden), classes.ravel(), places.ravel()
+        states, h = self._states(p, inputs, np.ascontiguousarray(h.T))
+        flat = states.transpose(0, 2, 1).reshape(-1, self.hidden)
+        classes, places = classes.ravel(), places.ravel()
         out = self._log_picked(flat, p["wc"], p["bc"], classes)
-        for part, who in self._by_class(classes):
-            out[who] += self._log_picked(flat[who], p["wm"][:, part], p["bm"][part], places[who])
+        who, _, logits, _, _ = self._within(p, flat, classes)
+        found = logits[np.arange(len(who)), places[who]] if len(who) else np.zeros(0, np.float32)
+        out[who] += found - np.log(np.exp(logits, out=logits).sum(axis=1))
         out[classes < 0] = 0
-        return out.reshape(inputs.shape), h
+        return out.reshape(inputs.shape), h.T
 
     def gradient(self, vector, inputs, classes, places, h):
         """Gradient of a window's loss over its cells, by truncated backpropagation; last state."""
-        p, grad = self.views(vector), np.zeros_like(vector)
-        d, kept = self.views(grad), []
-        states, last = self._states(p, inputs, h, kept)
-        flat, classes, places = states.reshape(-1, self.hidden), classes.ravel(), places.ravel()
+        p, grad, size = self.views(vector), np.zeros_like(vector), self.hidden
+        d = self.views(grad)
+        shape = (len(inputs), size, inputs.shape[1])
+        before, n = np.empty((2, *shape), np.float32)
+        gates = np.empty((shape[0], 3 * size, shape[2]), np.float32)
+        states, last = self._states(p, inputs, np.ascontiguousarray(h.T), (before, gates, n))
+        flat = states.transpose(0, 2, 1).reshape(-1, size)
+        classes, places = classes.ravel(), places.ravel()
         rows = np.flatnonzero(classes >= 0)
         if not len(rows):
-            return grad, last
+            return grad, last.T
         scale = np.float32(1 / inputs.size)  # a window that is mostly padding moves little
         dlogits = self._softmax(flat, p["wc"], p["bc"])
         dlogits[rows, classes[rows]] -= 1
-        dlogits[classes < 0] = 0
+        if len(rows) < len(classes):
+            dlogits[classes < 0] = 0
         dlogits *= scale
-        d["wc"][:], d["bc"][:] = flat.T @ dlogits, dlogits.sum(axis=0)
+        d["wc"][:], d["bc"][:] = flat.T @ dlogits, np.ones(len(dlogits), np.float32) @ dlogits
         dflat = dlogits @ p["wc"].T
-        for part, who in self._by_class(classes):
-            mine = flat[who]
-            dm = self._softmax(mine, p["wm"][:, part], p["bm"][part])
-            dm[np.arange(len(who)), places[who]] -= 1
-            dm *= scale
-            d["wm"][:, part] = mine.T @ dm
-            d["bm"][part] = dm.sum(axis=0)
-            dflat[who] += dm @ p["wm"][:, part].T
-        dstates = dflat.reshape(states.shape)
-        begin, dx = len(p["x"]) - 1, np.empty((*inputs.shape, 3 * self.hidden), np.float32)
-        dh = np.zeros_like(h)
+        who, mine, dm, weights, stretches = self._within(p, flat, classes)
+        if len(who):
+            np.exp(dm, out=dm)
+            dm *= (scale / (dm @ np.ones(dm.shape[1], np.float32)))[:, None]
+            dm[np.arange(len(who)), places[who]] -= scale
+            back, dw, db = np.empty_like(mine), np.zeros_like(weights), np.zeros(self.is_member.shape, np.float32)
+            for k, i, j in stretches:
+                np.matmul(mine[i:j].T, dm[i:j], out=dw[k])
+                np.matmul(dm[i:j], weights[k].T, out=back[i:j])
+            db[[k for k, _, _ in stretches]] = np.add.reduceat(dm, [i for _, i, _ in stretches], axis=0)
+            d["wm"][:], d["bm"][:] = dw.transpose(0, 2, 1)[self.is_member].T, db[self.is_member]
+            dflat[who] += back
+        dstates = np.ascontiguousarray(dflat.reshape(shape[0], shape[2], size).transpose(0, 2, 1))
+        begin = len(p["x"]) - 1
+        alive = (inputs != begin).astype(np.float32)
+        z, r, c = gates[:, :size], gates[:, size : 2 * size], gates[:, 2 * size :]
+        by_n, by_z, by_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), c * r * (1 - r)
+        dx, da = np.empty_like(gates), np.empty_like(gates)
+        dh = np.zeros(shape[1:], np.float32)
         for t in range(len(inputs) - 1, -1, -1):
-            before, z, r, c, n = kept[t]
-            dh = dh + dstates[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (before - n) * z * (1 - z)
-            dr = dn * c * r * (1 - r)
-            dx[t] = np.concatenate([dz, dr, dn], 1)
-            da = np.concatenate([dz, dr, dn * r], 1)
-            d["u"] += before.T @ da
-            d["un"] += da[:, 2 * self.hidden :].sum(axis=0)
-            dh = (dh * z + da @ p["u"].T) * (inputs[t] != begin)[:, None]
+            dh += dstates[t]
+            dn = dx[t, 2 * size :]
+            np.multiply(dh, by_n[t], out=dn)
+            np.multiply(dh, by_z[t], out=da[t, :size])
+            np.multiply(dn, by_r[t], out=da[t, size : 2 * size])
+            np.multiply(dn, r[t], out=da[t, 2 * size :])
+            dh *= z[t]
+            dh += p["u"] @ da[t]
+            dh *= alive[t]
+        dx[:, : 2 * size] = da[:, : 2 * size]
+        d["u"][:] = (before @ da.transpose(0, 2, 1)).sum(axis=0)
+        d["un"][:] = da[:, 2 * size :].sum(axis=(0, 2))
         flat_inputs = inputs.ravel()
         order = _order(flat_inputs, len(p["x"]))
-        used, starts = np.unique(flat_inputs[order], return_index=True)
-        d["x"][used] = np.add.reduceat(dx.reshape(-1, 3 * self.hidden)[order], starts, axis=0)
-        return grad, last
+        ordered = flat_inputs[order]
+        starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+        d["x"][ordered[starts]] = np.add.reduceat(dx.transpose(0, 2, 1).reshape(-1, 3 * size)[order], starts, axis=0)
+        return grad, last.T
 
 
 def lanes(lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,9 +244,9 @@ def lanes(lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 def laid_out(lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For sequences given end to end: each element's row and lane, and the lanes' heights."""
     lane, begin, heights = lanes(lengths, n)
-    first = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    row = np.arange(int(lengths.sum())) - first + np.repeat(begin, lengths)
-    return row, np.repeat(lane, lengths), heights
+    row = np.arange(int(lengths.sum()))
+    row += np.repeat(begin - (np.cumsum(lengths) - lengths), lengths)
+    return row, np.repeat(lane.astype(np.int32), lengths), heights
 
 
 class Adam:

@@ -214,9 +214,9 @@ class Lexicon:
         words, counts, kinds = head
         self.n, self.v = totals
         short = min(options.shortlist, len(words))
-        place = np.full(len(words), -1, np.int64)
+        place = np.full(len(words), -1, np.int32)
         place[:short] = np.arange(short)
-        self.class_of, self.within = np.zeros(short, np.int64), np.zeros(short, np.int64)
+        self.class_of, self.within = np.zeros(short, np.int32), np.zeros(short, np.int32)
         members, member_logs, class_logs = [], [], []
         for k in range(n_kinds):
             mine = np.flatnonzero(kinds[:short] == k)
@@ -242,6 +242,21 @@ class Lexicon:
         self.words, self.counts, self.place = words[order], counts[order], place[order]
         self.short, self.n_kinds = short, n_kinds
 
+    @property
+    def number(self) -> type:
+        """The least type for inputs, classes and members; none exceeds the first two's number."""
+        return np.int16 if max(self.short + self.n_kinds, len(self.members)) < 1 << 15 else np.int32
+
+    def grid(self, inputs, classes, within, lengths, n_lanes: int):
+        """Inputs before the targets, classes and members by row and lane, with each token's
+        place in them and the lanes' heights."""
+        row, lane, heights = laid_out(lengths, n_lanes)
+        grid = np.zeros((3, int(heights[0]), n_lanes), self.number)
+        grid[0], grid[1] = self.short + self.n_kinds, -1
+        for k, x in enumerate((self.before(inputs, lengths), classes, within)):
+            grid[k][row, lane] = x
+        return grid, row, lane, heights
+
     def network(self, hidden: int) -> GRU:
         return GRU(self.short + self.n_kinds + 1, self.members, hidden)
 
@@ -250,21 +265,21 @@ class Lexicon:
         if not len(self.words):
             head = np.zeros(len(tokens), bool)
             at = np.zeros(len(tokens), np.int64)
-            place = np.full(len(tokens), -1, np.int64)
+            place = np.full(len(tokens), -1, np.int32)
             counts = place
         else:
             at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
             head = self.words[at] == tokens
             place = np.where(head, self.place[at], -1)
             counts = np.where(head, self.counts[at], -1)
-        kinds = kinds.astype(np.int64)
+        kinds = kinds.astype(np.int32)
         short = place >= 0
         inputs = np.where(short, place, self.short + kinds)
         if self.short:
             classes = np.where(short, self.class_of[place], self.first_rest + kinds)
-            within = np.where(short, self.within[place], 0)
+            within = np.where(short, self.within[place], np.int32(0))
         else:
-            classes, within = self.first_rest + kinds, np.zeros(len(tokens), np.int64)
+            classes, within = self.first_rest + kinds, np.zeros(len(tokens), np.int32)
         return counts, inputs, classes, within
 
     def before(self, inputs: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -305,9 +320,8 @@ def train_network(train: DataFrame, kinds: Kinds, lexicon: Lexicon, options: Opt
     vector = network.start(lexicon.class_logs, lexicon.member_logs)
     shared = spark.sparkContext.broadcast((kinds, lexicon))  # bounded by the options
 
-    # no number of an input, a class or a member exceeds that of the inputs and classes
-    small = max(lexicon.short + lexicon.n_kinds, len(lexicon.members)) < 1 << 15
-    number, kind = (np.int16, "short") if small else (np.int32, "int")
+    number = lexicon.number
+    kind = "short" if number is np.int16 else "int"
 
     def encode(batches):
         kinds, lexicon = shared.value
@@ -340,17 +354,11 @@ def train_network(train: DataFrame, kinds: Kinds, lexicon: Lexicon, options: Opt
             network, vector = lexicon.network(options.hidden), np.frombuffer(sent.value, np.float32).copy()
             group = group.combine_chunks()
             lengths = group["n"].to_numpy()
-            inputs, classes, within = (
-                group[x].combine_chunks().flatten().to_numpy().astype(np.int32) for x in "icm"
-            )
+            inputs, classes, within = (group[x].combine_chunks().flatten().to_numpy() for x in "icm")
             # so few lanes that the longest text does not run on beside empty ones
             n_lanes = int(np.clip(lengths.sum() // max(lengths.max(), options.window), 1, options.train_lanes))
-            row, lane, heights = laid_out(lengths, n_lanes)
-            height = int(heights[0])
-            grid = np.zeros((3, height, n_lanes), np.int32)
-            grid[0], grid[1] = lexicon.short + lexicon.n_kinds, -1
-            for k, x in enumerate((lexicon.before(inputs, lengths), classes, within)):
-                grid[k][row, lane] = x
+            grid = lexicon.grid(inputs, classes, within, lengths, n_lanes)[0]
+            height = grid.shape[1]
             adam = Adam(network.n, options.rate)
             while adam.t < options.steps:
                 h = np.zeros((n_lanes, options.hidden), np.float32)
@@ -393,13 +401,11 @@ def _score_batch(parts, network: GRU, vector, lexicon: Lexicon, options: Options
     looks = np.concatenate([p[1] for p in parts])
     lengths = np.concatenate([p[2] for p in parts])
     counts, inputs, classes, within = lexicon.look_up(tokens, looks)
-    n_lanes = int(min(options.lanes, len(lengths)))
-    row, lane, heights = laid_out(lengths, n_lanes)
-    height = int(heights[0])
-    grid = np.zeros((3, height, n_lanes), np.int32)
-    grid[0], grid[1] = lexicon.short + lexicon.n_kinds, -1
-    for k, x in enumerate((lexicon.before(inputs, lengths), classes, within)):
-        grid[k][row, lane] = x
+    # so few lanes that a long text does not make most of the grid empty
+    n_lanes = int(np.clip(4 * lengths.sum() // lengths.max(), 1, min(options.lanes, len(lengths))))
+    grid, row, lane, heights = lexicon.grid(inputs, classes, within, lengths, n_lanes)
+    del inputs, within
+    height = grid.shape[1]
     logs, h = np.empty((height, n_lanes), np.float32), np.zeros((n_lanes, options.hidden), np.float32)
     at = 0
     while at < height:
@@ -407,12 +413,14 @@ def _score_batch(parts, network: GRU, vector, lexicon: Lexicon, options: Options
         part = slice(at, at + max(options.window, (1 << 14) // used))
         logs[part, :used], h = network.logs(vector, *grid[:, part, :used], h[:used])
         at = part.stop
-    doc = np.repeat(np.arange(len(lengths)), lengths)
+    logs = logs[row, lane]
+    del grid, row, lane
+    doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
 
     def per_text(which, values):
         return np.bincount(doc[which], values, len(lengths)).astype(np.float64)
 
-    score = per_text(slice(None), logs[row, lane].astype(np.float64)) / np.log(10)
+    score = per_text(slice(None), logs.astype(np.float64)) / np.log(10)
     head = counts >= 0
     known = np.log10(np.where(head, counts, 0) + 0.5)
     rest = classes >= lexicon.first_rest
