@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bitsliced, lm, quality, sentencepiece
+from tidewatch.llm import bitsliced, lm, matrix, quality, sentencepiece
+from tidewatch.settings import session_settings
 from tests.llm.conftest import ODD
 
 
@@ -110,3 +111,15 @@ def test_scoring_a_long_text_beside_short_ones_takes_little_memory():
     assert peak < 60e6
     alone = lm._score_batch([(part[0][:60_000], part[1][:60_000], lengths[:1])], network, vector, lexicon, options)
     assert together[3][0] == pytest.approx(alone[3][0], rel=1e-5)
+
+
+def test_shards_gather_small_batches_and_lie_in_files_of_their_own(spark, documents):
+    docs = documents([(i, f"w{i} and w{i + 1} again") for i in range(60)]).coalesce(1)
+    with session_settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "7"}):
+        whole = matrix.term_shards(docs, ["doc_id"])
+        cut = matrix.term_shards(docs, ["doc_id"], most=400)
+    assert whole.count() == 1  # not one for each Arrow batch
+    assert [r.doc_id for r in whole.first().rows] == list(range(60))
+    sizes = [sum(len(f"w{r.doc_id} and w{r.doc_id + 1} again") for r in s.rows) for s in cut.orderBy("shard").collect()]
+    assert len(sizes) > 2 and max(sizes) <= 400 and min(sizes[:-1]) > 300
+    assert cut.select(F.input_file_name()).distinct().count() == len(sizes)
