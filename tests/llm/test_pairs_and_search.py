@@ -336,3 +336,28 @@ def test_links_of_seeds_by_brute_force(spark, few):
         assert sorted(map(tuple, chains.linked(found, few).collect())) == sorted(expect)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_a_text_is_sent_once_for_its_chains(documents, monkeypatch, tmp_path):
+    docs = _with_a_passage(documents)
+    once = sorted(map(tuple, chains.passages(docs).collect()))
+    real = chains._aligned
+
+    def watched(*args):
+        run = real(*args)
+
+        def seen(batches):
+            for batch in batches:
+                if batch.num_rows:
+                    (tmp_path / f"{time.time_ns()}").write_text(" ".join(map(str, batch["id"].to_pylist())))
+                yield from run([batch])
+
+        return seen
+
+    monkeypatch.setattr(chains, "_aligned", watched)
+    for turn, most in ((2_000, 1), (10, 3)):  # a hot first's chains are dealt to turns
+        monkeypatch.setattr(chains, "_TURN", turn)
+        assert sorted(map(tuple, chains.passages(docs).collect())) == once
+        sent = [int(i) for p in tmp_path.iterdir() for i in p.read_text().split()]
+        assert sent.count(0) <= most and max(map(sent.count, sent)) <= most
+        [p.write_text("") for p in tmp_path.iterdir()]
